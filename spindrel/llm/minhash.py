@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BITMAP_BITS, bitmap, bounds, complete_groups, in_bitmap, partitions, prepare, stage
+from .common import bitmap, bounds, complete_groups, in_bitmap, partitions, prepare, stage
 from .components import components
 from .tokens import chunks, mix, powers, shingle_sets
 
 COORDS = 96
 #: Sets of one posting list that are compared in one task.
 BLOCK = 512
+#: Posting lists up to this length are turned into couples.
+SHORT = 8
 #: Most frequent coordinate-value pairs whose counts are sent to the executors (16 bytes each).
 MAX_FREQUENT = 1 << 20
 _U = np.uint64
@@ -175,6 +177,16 @@ def _collisions(shared, need: int):
     return run
 
 
+def _agreeing(need: int):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ok = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(1) >= need
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], ["a", "b"])
+
+    return run
+
+
 def _sets(k: int, bits):
     def run(batches):
         for batch in batches:
@@ -269,9 +281,23 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
     )
 
     posted = nodes.select("node", "sig").mapInArrow(_postings(shared, need), "grp long, rank long, node long, side int")
-    several = posted.withColumn("n", F.count("*").over(Window.partitionBy("grp"))).where("n > 1").drop("n")
-    several = several.join(nodes.select("node", "sig"), "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
-    active = stage(several.mapInArrow(_collisions(shared, need), "grp long, node long, side int"))
+    several = stage(posted.withColumn("n", F.count("*").over(Window.partitionBy("grp"))).where("n > 1"))
+    # short lists: their couples, each once however many lists it shares; long lists: in one task per list
+    couples = (
+        several.where(F.col("n") <= SHORT)
+        .groupBy("grp")
+        .agg(F.array_sort(F.collect_set("node")).alias("nodes"))
+        .select(F.explode(F.expr("flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x as a, y as b))))")).alias("c"))
+        .select("c.a", "c.b")
+        .distinct()
+    )
+    sig = nodes.select("node", "sig")
+    couples = couples.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+    couples = couples.mapInArrow(_agreeing(need), "a long, b long").withColumn("grp", F.xxhash64("a", "b"))
+    short = couples.select("grp", F.explode(F.array("a", "b")).alias("node"), F.lit(0).alias("side"))
+    long = several.where(F.col("n") > SHORT).join(sig, "node").select("grp", "rank", "node", "side", "sig")
+    long = long.repartition(partitions(spark), "grp").sortWithinPartitions("grp")
+    active = stage(short.unionByName(long.mapInArrow(_collisions(shared, need), "grp long, node long, side int")))
 
     marks = active.join(nodes.select("node", "first"), "node").select(F.expr("node ^ shiftleft(coalesce(first, 0L), 17)").alias("k"))
     bits = spark.sparkContext.broadcast(bitmap(marks, "k"))
