@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import minhash
+from . import minhash, substrings
 from .common import table
 
 
@@ -10,5 +10,12 @@ def op1_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {"op1_near_duplicates": op1_near_duplicates}
+def op3_substring_dedup(spark, sf_dir):
+    return substrings.remove_repeated(table(spark, sf_dir, "documents"), window=35, digest=True).withColumnRenamed("kept_text", "kept_sha256")
+
+
+QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op3_substring_dedup": op3_substring_dedup,
+}
 SQL: dict[str, str] = {}
