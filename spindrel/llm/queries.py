@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import minhash, substrings
+from pyspark.sql import functions as F
+
+from . import minhash, pii, secrets, substrings
 from .common import table
 
 
@@ -14,8 +16,19 @@ def op3_substring_dedup(spark, sf_dir):
     return substrings.remove_repeated(table(spark, sf_dir, "documents"), window=35, digest=True).withColumnRenamed("kept_text", "kept_sha256")
 
 
+def op7_sanitise(spark, sf_dir):
+    return pii.find_spans(table(spark, sf_dir, "documents")).drop("key", "cuts")
+
+
+def op10_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("repo", F.concat_ws("/", "source", "lang"))
+    return secrets.scan(docs, owner="source", repo="repo")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_sanitise": op7_sanitise,
+    "op10_secret_scan": op10_secret_scan,
 }
 SQL: dict[str, str] = {}
