@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash, pii, secrets, substrings
+from . import chat, decontaminate, minhash, mixing, pii, quality, secrets, substrings
 from .common import table
 
 
@@ -12,14 +12,30 @@ def op1_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op2_quality(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text")
+
+
 def op3_substring_dedup(spark, sf_dir):
     return substrings.remove_repeated(table(spark, sf_dir, "documents"), window=35, digest=True).withColumnRenamed("kept_text", "kept_sha256")
 
 
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_preference_pairs(spark, sf_dir):
+    return chat.preference_pairs(chat.neighbours(table(spark, sf_dir, "conversations")))
+
+
 def op7_sanitise(spark, sf_dir):
     return pii.find_spans(table(spark, sf_dir, "documents")).drop("key", "cuts")
 
 
+def op9_mixing(spark, sf_dir):
+    return mixing.calibrated(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("repo", F.concat_ws("/", "source", "lang"))
     return secrets.scan(docs, owner="source", repo="repo")
@@ -27,8 +43,15 @@ def op10_secret_scan(spark, sf_dir):
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_quality": op2_quality,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_preference_pairs": op5_preference_pairs,
     "op7_sanitise": op7_sanitise,
+    "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_preference_pairs": chat.NEIGHBOURS_SQL,
+    "op9_mixing": mixing.calibrated_sql(),
+}
