@@ -241,3 +241,21 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, *, least_words: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     w, trans = train(docs, labels, **sample)
     return docs.mapInArrow(_judged(w, trans, least_words, most_repeated, share), f"doc_id long, text string, {_RESULT}")
+
+
+def _good_rows(w: np.ndarray, trans: np.ndarray, least_words: int, most_repeated: int, share: float):
+    judged = _judged(w, trans, least_words, most_repeated, share)
+
+    def run(batches):
+        for batch in batches:
+            for out in judged([batch.select(["text"])]):
+                yield batch.filter(out["kept"])
+
+    return run
+
+
+def keep_good(docs: DataFrame, labels: DataFrame | None = None, *, least_words: int = 50, most_repeated: int = 50, share: float = 0.5, **sample) -> DataFrame:
+    """The rows of `docs` that judge() keeps, with all their columns."""
+    prepare(docs.sparkSession)
+    w, trans = train(docs.select("doc_id", "text"), labels, **sample)
+    return docs.mapInArrow(_good_rows(w, trans, least_words, most_repeated, share), docs.schema)

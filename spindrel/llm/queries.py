@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, minhash, mixing, pii, quality, secrets, substrings
+from . import chat, decontaminate, html, language, minhash, mixing, pii, quality, secrets, substrings
 from .common import table
 
 
@@ -28,10 +28,18 @@ def op5_preference_pairs(spark, sf_dir):
     return chat.preference_pairs(chat.neighbours(table(spark, sf_dir, "conversations")))
 
 
+def op6_language_model(spark, sf_dir):
+    return language.score(table(spark, sf_dir, "documents"))
+
+
 def op7_sanitise(spark, sf_dir):
     return pii.find_spans(table(spark, sf_dir, "documents")).drop("key", "cuts")
 
 
+def op8_main_text(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.calibrated(table(spark, sf_dir, "documents"))
 
@@ -47,11 +55,14 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_preference_pairs": op5_preference_pairs,
+    "op6_language_model": op6_language_model,
     "op7_sanitise": op7_sanitise,
+    "op8_main_text": op8_main_text,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
 SQL: dict[str, str] = {
     "op5_preference_pairs": chat.NEIGHBOURS_SQL,
+    "op8_main_text": op8_main_text,
     "op9_mixing": mixing.calibrated_sql(),
 }
