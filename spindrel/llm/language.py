@@ -25,7 +25,7 @@ from .tokens import chunks, mix, words
 
 #: Words with a slot of their own (the end is one of them), classes, embedding size.
 WORDS, CLASSES, SIZE = 512, 256, 16
-MAX_COMMON = 1 << 20
+MAX_COMMON = 1 << 19
 #: Noise samples and contexts in a training batch, tokens gathered before training on them.
 NOISE, BATCH, GATHER = 64, 4096, 1 << 20
 RATE = 0.15
@@ -224,6 +224,13 @@ def _summed(batches):
 _SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<h: bigint, n: bigint>>"
 
 
+def _packed(batches):
+    """The columns of a task as two binary values."""
+    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in zip(*held, strict=True)], ["h", "c"])
+
+
 def _scored(shared):
     def run(batches):
         slots, tables, common_h, common_c, class_norm, base_norm = shared.value
@@ -318,10 +325,14 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1) -> DataFrame:
         if many > MAX_COMMON:
             break
         least = r["b"]
-    common = counts.where(size >= least).select("h", "c").toPandas() if least is not None else None
-    order = np.argsort(common["h"].to_numpy().view(np.uint64)) if common is not None else None
-    common_h = common["h"].to_numpy().view(np.uint64)[order] if common is not None else np.zeros(0, np.uint64)
-    common_c = common["c"].to_numpy()[order] if common is not None else np.zeros(0, np.int64)
+    h, c = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    if least is not None:
+        for r in counts.where(size >= least).select("h", "c").mapInArrow(_packed, "h binary, c binary").toLocalIterator():
+            h.append(np.frombuffer(bytes(r["h"]), dtype=np.uint64))
+            c.append(np.frombuffer(bytes(r["c"]), dtype=np.int64))
+    common_h, common_c = np.concatenate(h), np.concatenate(c)
+    order = np.argsort(common_h)
+    common_h, common_c = common_h[order], common_c[order]
     shared = spark.sparkContext.broadcast(
         (slots, model.tables(), common_h, common_c, np.log10(left_n + 0.5 * (left_v + 1)), float(np.log10(total + 0.5 * (distinct + 1))))
     )
