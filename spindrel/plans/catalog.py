@@ -1,4 +1,6 @@
 """Registered queries and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import links, relational
+
+QUERIES: dict = {**links.QUERIES, **relational.QUERIES}
+SQL: dict[str, str] = {**links.SQL, **relational.SQL}
