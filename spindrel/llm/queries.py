@@ -63,6 +63,5 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op5_preference_pairs": chat.NEIGHBOURS_SQL,
-    "op8_main_text": op8_main_text,
     "op9_mixing": mixing.calibrated_sql(),
 }
