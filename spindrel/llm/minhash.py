@@ -29,7 +29,7 @@ from .tokens import chunks, mix, powers, shingle_sets
 
 COORDS = 96
 #: Sets of one posting list that are compared in one task.
-BLOCK = 512
+BLOCK = 2048
 #: Posting lists up to this length are turned into couples.
 SHORT = 8
 #: Most frequent coordinate-value pairs whose counts are sent to the executors (16 bytes each).
@@ -238,15 +238,24 @@ def _confirmed(percent: int):
                         i = top[i]
                     return i
 
-                for i in range(len(rows)):
-                    for j in range(i + 1, len(rows)):
-                        if side[rows[i]] and side[rows[i]] == side[rows[j]]:
-                            continue
-                        x, y = find(i), find(j)
-                        if x != y and linked(full[i], full[j], percent):
-                            top[max(x, y)] = min(x, y)
-                            us.append(int(node[rows[i]]))
-                            vs.append(int(node[rows[j]]))
+                def compare(i, j):
+                    if side[rows[i]] and side[rows[i]] == side[rows[j]]:
+                        return
+                    x, y = find(i), find(j)
+                    if x != y and linked(full[i], full[j], percent):
+                        top[max(x, y)] = min(x, y)
+                        us.append(int(node[rows[i]]))
+                        vs.append(int(node[rows[j]]))
+
+                for j in range(1, len(rows)):
+                    compare(0, j)
+                # what the first set reaches is linked already: only couples with another are left
+                rest = [i for i in range(1, len(rows)) if find(i) != find(0)]
+                late = set(rest)
+                for i in rest:
+                    for j in range(1, len(rows)):
+                        if j != i and not (j in late and j < i):
+                            compare(i, j)
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
