@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 A first pass counts over all documents in how many each n-gram of the test items stands.
-An item's seeds are its n-grams that few documents hold, and in any case the rarer half
-of them, so that an item that leaked everywhere keeps seeds. A second pass joins seeds to
+An item's seeds are its n-grams that few documents hold, and in any case those held by at
+most twice as many as its median one, so that an item that leaked everywhere keeps seeds. A second pass joins seeds to
 passages and aligns each item with the words around its seeds; the score is the local
 alignment's share of a perfect one. Both passes are map-side: only the items travel, in
 blocks of at most BLOCK_SEEDS n-grams, one pair of passes for each block.
@@ -19,6 +19,8 @@ from .common import prepare
 from .tokens import chunks, text_buffers, windows, words
 
 BLOCK_SEEDS = 1 << 20
+#: An n-gram that no more documents hold is rare, however small the corpus.
+ALWAYS_RARE = 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -48,7 +50,7 @@ class Items:
         for i in np.unique(self.item).tolist():
             own = np.sort(n[self.item == i])
             half[i] = own[(len(own) - 1) // 2]
-        keep = (1000 * n <= per_mille * total) | (n <= half[self.item])
+        keep = (1000 * n <= per_mille * total) | (n <= ALWAYS_RARE) | (n <= 2 * half[self.item])
         self.hash, self.item, self.place = self.hash[keep], self.item[keep], self.place[keep]
         self.grams = np.unique(self.hash)
         self._index()
