@@ -168,11 +168,16 @@ def _collisions(shared, need: int):
             for i in range(0, len(two), 4096):
                 test(two[i : i + 4096], two[i : i + 4096] + 1)
             for b, e in zip(begin[size > 2].tolist(), end[size > 2].tolist(), strict=True):
-                x, y = np.triu_indices(e - b, 1)
-                for i in range(0, len(x), 8192):
-                    test(x[i : i + 8192] + b, y[i : i + 8192] + b)
+                if e - b <= 64:
+                    x, y = np.triu_indices(e - b, 1)
+                    test(x + b, y + b)
+                    continue
+                for i in range(b, e - 1):
+                    # couples of two nodes that are kept already say nothing new
+                    y = np.flatnonzero(~keep[i + 1 : e]) + i + 1 if keep[i] else np.arange(i + 1, e)
+                    test(np.full(len(y), i), y)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (grp, node, side)], ["grp", "node", "side"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (grp, node, side, rank.view(np.int64))], ["grp", "node", "side", "rank"])
 
     return run
 
@@ -216,46 +221,37 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirmed(percent: int):
-    """Of each group a forest of the links that hold on the full sets."""
+def _confirmed(shared, need: int, percent: int):
+    """Of each group a forest of the links that hold on the full sets. In a long list a
+    couple is compared only if the list is its own (see _collisions) and nothing links it yet."""
 
     def run(batches):
+        frequent, counts = (np.frombuffer(b, dtype=t) for b, t in zip(shared.value, (np.uint64, np.int64), strict=True))
         for t in complete_groups(batches, "grp"):
-            grp, node, side = t["grp"].to_numpy(), t["node"].to_numpy(), t["side"].to_numpy()
-            sets = t["shingles"].combine_chunks() if isinstance(t["shingles"], pa.ChunkedArray) else t["shingles"]
+            grp, nodes, sides, ranks = (t[c].to_numpy() for c in ("grp", "node", "side", "rank"))
+            sets, sigs = t["shingles"].combine_chunks(), t["sig"].combine_chunks()
             us, vs = [], []
             for b, e in zip(*(x.tolist() for x in bounds(grp)), strict=True):
-                seen: dict[int, int] = {}
-                for i in range(b, e):
-                    seen.setdefault(int(node[i]), i)
-                rows = sorted(seen.values(), key=lambda i: int(node[i]))
+                node, first = np.unique(nodes[b:e], return_index=True)
+                rows = (first + b).tolist()
+                side, rank = sides[rows], ranks[rows].view(np.uint64)
+                sig = _matrix(sigs.take(pa.array(rows)))
                 full = [np.frombuffer(sets[i].as_buffer(), dtype=np.uint64) for i in rows]
-                top = list(range(len(rows)))
-
-                def find(i):
-                    while top[i] != i:
-                        top[i] = top[top[i]]
-                        i = top[i]
-                    return i
-
-                def compare(i, j):
-                    if side[rows[i]] and side[rows[i]] == side[rows[j]]:
-                        return
-                    x, y = find(i), find(j)
-                    if x != y and linked(full[i], full[j], percent):
-                        top[max(x, y)] = min(x, y)
-                        us.append(int(node[rows[i]]))
-                        vs.append(int(node[rows[j]]))
-
-                for j in range(1, len(rows)):
-                    compare(0, j)
-                # what the first set reaches is linked already: only couples with another are left
-                rest = [i for i in range(1, len(rows)) if find(i) != find(0)]
-                late = set(rest)
-                for i in rest:
-                    for j in range(1, len(rows)):
-                        if j != i and not (j in late and j < i):
-                            compare(i, j)
+                root = np.arange(len(rows))
+                for i in range(len(rows) - 1):
+                    y = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
+                    y = y[(side[y] == 0) | (side[y] != side[i])]
+                    if len(y) and len(rows) > 2:
+                        same = sig[y] == sig[i]
+                        ok = same.sum(1) >= need
+                        y, same = y[ok], same[ok]
+                        r, _ = _ranks(_keys(sig[i : i + 1]), frequent, counts)
+                        y = y[np.where(same, r, np.uint64(2**64 - 1)).min(1) >= rank[i]]
+                    for j in y.tolist():
+                        if root[i] != root[j] and linked(full[i], full[j], percent):
+                            root[root == root[j]] = root[i]
+                            us.append(int(node[i]))
+                            vs.append(int(node[j]))
             if us:
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
@@ -303,16 +299,16 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
     sig = nodes.select("node", "sig")
     couples = couples.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
     couples = couples.mapInArrow(_agreeing(need), "a long, b long").withColumn("grp", F.xxhash64("a", "b"))
-    short = couples.select("grp", F.explode(F.array("a", "b")).alias("node"), F.lit(0).alias("side"))
+    short = couples.select("grp", F.explode(F.array("a", "b")).alias("node"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("rank"))
     long = several.where(F.col("n") > SHORT).join(sig, "node").select("grp", "rank", "node", "side", "sig")
     long = long.repartition(partitions(spark), "grp").sortWithinPartitions("grp")
-    active = stage(short.unionByName(long.mapInArrow(_collisions(shared, need), "grp long, node long, side int")))
+    active = stage(short.unionByName(long.mapInArrow(_collisions(shared, need), "grp long, node long, side int, rank long")))
 
     marks = active.join(nodes.select("node", "first"), "node").select(F.expr("node ^ shiftleft(coalesce(first, 0L), 17)").alias("k"))
     bits = spark.sparkContext.broadcast(bitmap(marks, "k"))
     sets = docs.mapInArrow(_sets(words, bits), "node long, shingles binary")
-    full = active.distinct().join(sets, "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
-    edges = full.mapInArrow(_confirmed(percent), "u long, v long")
+    full = active.distinct().join(sets, "node").join(sig, "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
+    edges = full.mapInArrow(_confirmed(shared, need, percent), "u long, v long")
 
     roots = components(edges)
     named = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
