@@ -99,7 +99,7 @@ def folded_cells(rows: DataFrame) -> DataFrame:
         F.min_by("label", order).alias("label"),
         F.min_by("url", order).alias("url"),
         F.transform(F.array_sort(F.collect_list(F.struct("width", "col", "url"))), lambda x: x.col).alias("cols"),
-        F.expr("transform(filter(slice(array_sort(collect_list(struct(width, col, url))), 2, 1000), x -> x.url is not null and x.url <> ''), x -> x.url)").alias("affiliate_urls"),
+        F.expr("transform(filter(array_sort(collect_list(struct(width, col, url))), (x, i) -> i > 0 and x.url is not null and x.url <> ''), x -> x.url)").alias("affiliate_urls"),
     )
 
 

@@ -46,7 +46,12 @@ def rollup_metrics(spark, sf_dir):
     lines = li.agg(F.count("*").alias("n_entries"), F.count_distinct("l_partkey").alias("n_parts"), F.count_distinct("l_partkey", "l_suppkey").alias("n_links"))
     shared = li.select("l_partkey", "l_orderkey").distinct().groupBy("l_partkey").count().agg(F.count_if(F.col("count") > 1).alias("n_shared"))
     orders = o.agg(F.count("*").alias("n_orders"), F.count_distinct("o_custkey").alias("n_buyers"))
-    return lines.crossJoin(shared).crossJoin(orders).crossJoin(c.agg(F.count("*").alias("n_customers")))  # one row each
+    parts = [lines, shared, orders, c.agg(F.count("*").alias("n_customers"))]  # one row each
+    names = [n for p in parts for n in p.columns]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return rows.agg(*(F.max(n).alias(n) for n in names))
 
 
 def qty_pivot(spark, sf_dir):
