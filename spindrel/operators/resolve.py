@@ -85,7 +85,7 @@ def keyed_rows(raw: DataFrame, r: Rules) -> DataFrame:
     scope = F.when(F.col("_family"), F.col("family")).when(split, F.col("project"))
     rows = rows.withColumn("scope", scope).withColumn("key", joins.scope_key(F.col("base_key"), F.col("_family"), split, F.col("family"), F.col("project")))
     group = F.when(F.col("choice_group").isNotNull(), F.concat("project", F.lit("#or"), F.col("choice_group").cast("string")))
-    return rows.select("seq", "sheet", "row", "project", "project_status", "key", "base_key", "scope", F.col("_c").alias("name"), "cat", F.col("_p.base").alias("base_product"),
+    return rows.select("seq", "sheet", "row", "project", "project_status", "key", "base_key", split.alias("split"), "scope", F.col("_c").alias("name"), "cat", F.col("_p.base").alias("base_product"),
                        F.col("_p.machining").alias("machining"), text.clean_text(F.col("standard")).alias("standard"), "qty", "size", "notes", "entries", group.alias("choice_group"))
 
 
@@ -156,9 +156,11 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
     sources = sources.withColumn("role_rank", F.array_min(F.transform("roles", lambda x: F.element_at(ranks, x))))
 
     plain = cells.where("(url is null or url = '') and label is not null")
-    unlinked = _list(plain, ["key", "label"], "role", "order").withColumnRenamed("role", "roles").join(_list(plain, ["key", "label"], "project", "order").withColumnRenamed("project", "projects"), ["key", "label"])
+    unlinked = plain.groupBy("key", "label").agg(F.min("order").alias("seq"))
+    for part, out in (("role", "roles"), ("project", "projects")):
+        unlinked = unlinked.join(_list(plain, ["key", "label"], part, "order").withColumnRenamed(part, out), ["key", "label"])
     noted = rows.select("key", "project", "seq", F.explode("notes").alias("note")).withColumn("note", text.clean_text(F.col("note"))).where("note is not null")
-    notes = _list(noted, ["key", "note"], "project", "seq").withColumnRenamed("project", "projects")
+    notes = noted.groupBy("key", "note").agg(F.min("seq").alias("seq")).join(_list(noted, ["key", "note"], "project", "seq").withColumnRenamed("project", "projects"), ["key", "note"])
     return Master(items, uses, sources, unlinked, notes)
 
 
