@@ -163,6 +163,14 @@ def test_quality_learns_noise(spark):
     assert all(r["kept"] == (r["doc_id"] < 100) for r in got)
 
 
+def test_quality_on_held_out_labels(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = "crc32(cast(doc_id as string)) % 5 = 1"
+    judged = quality.judge(d, labels.where(f"not ({held})")).join(labels.where(held).select("doc_id", "quality"), "doc_id").where("not base_failed").collect()
+    bad, good = ([r["kept"] for r in judged if r["quality"] == q] for q in (0, 1))
+    assert len(bad) > 5 and len(good) > 40 and sum(bad) <= 0.05 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     for _ in range(30):
