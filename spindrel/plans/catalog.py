@@ -1,6 +1,6 @@
 """Registered queries and their SQL."""
 
-from . import links, relational
+from . import links, master, relational
 
-QUERIES: dict = {**links.QUERIES, **relational.QUERIES}
-SQL: dict[str, str] = {**links.SQL, **relational.SQL}
+QUERIES: dict = {**links.QUERIES, **relational.QUERIES, **master.QUERIES}
+SQL: dict[str, str] = {**links.SQL, **relational.SQL, **master.SQL}
