@@ -1,11 +1,13 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the values of the fixed patterns (email, ip, card, phone). For
-each, the words around its mentions are counted over the corpus: joint documents of
-(entity, term) against all documents of the term. A term whose share p(entity | term)
-reaches `disclosure`, in at least `support` different contexts and with positive
-pointwise information about the entity, gives the entity away even when its value is
-masked, and is masked with it, as kind `term`.
+each, the words of all documents that mention it are counted over the corpus: joint
+documents of (entity, term) against all documents of the term. A term whose share
+p(entity | term) reaches `disclosure`, in at least `support` different contexts and with
+positive pointwise information about the entity, gives the entity away even when its
+value is masked, and is masked wherever it stands in those documents, as kind `term`.
+The context of an entity in a document is the words next to its first mention there, so
+that copies of one passage are one context.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .spans import PII_KINDS, digest, personal
 from .tokens import chunks, text_buffers, words
 
 _SPANS = "array<struct<s: bigint, k: int, e: bigint>>"
-_FOUND = f"key long, doc_id long, counts array<bigint>, base_sha256 string, found {_SPANS}, seen array<struct<entity: bigint, term: bigint, context: bigint, s: bigint, e: bigint>>"
+_FOUND = f"key long, doc_id long, counts array<bigint>, base_sha256 string, found {_SPANS}, seen array<struct<entity: bigint, context: bigint>>"
 _MARK = np.zeros(256, dtype=bool)
 _MARK[[43, 64, *range(48, 58)]] = True
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -35,20 +37,16 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _term_hashes(texts: list[str]) -> list[int]:
-    raw, offs = text_buffers(pa.array(texts, pa.string()))
-    return words(raw, offs, lower=True)[3].view(np.int64).tolist() if texts else []
-
-
-def _around(text: str, spans, reach: int, least: int) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, context, start, end) for the words near each span."""
-    out = []
+def _around(text: str, spans, reach: int, least: int) -> dict[int, int]:
+    """The context of each entity: the words near its first mention, or else the text."""
+    out = {}
     for s, k, e in spans:
         entity = _hash(f"{PII_KINDS[k]}:{text[s:e].lower()}")
+        if entity in out:
+            continue
         near = []
         lo = max(0, s - 64 * reach)
-        left, at = text[lo:s], lo
-        for side, at, part in ((0, lo, left), (1, e, text[e : e + 64 * reach])):
+        for side, at, part in ((0, lo, text[lo:s]), (1, e, text[e : e + 64 * reach])):
             own = []
             for m in _WORD.finditer(part):
                 a, b = at + m.start(), at + m.end()
@@ -59,12 +57,83 @@ def _around(text: str, spans, reach: int, least: int) -> list[tuple[int, int, in
             if side and own and own[-1][1] == e + 64 * reach:
                 own = own[:-1]
             near += own[-reach:] if not side else own[:reach]
-        if near:
-            context = _hash(" ".join(text[a:b].lower() for a, b in near))
-            out += [(entity, t, context, a, b) for (a, b), t in zip(near, _term_hashes([text[a:b] for a, b in near]), strict=True)]
+        out[entity] = _hash(" ".join(text[a:b].lower() for a, b in near) if near else text)
     return out
 
 
+def _terms(text: str, spans, least: int):
+    """(term, start, end) of every word of the text that is long enough and outside spans."""
+    raw, offs = text_buffers(pa.array([text], pa.string()))
+    _, s, e, h = words(raw, offs, lower=True)
+    points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    s, e = points[s], points[e]
+    starts, ends = np.array([x for x, _, _ in spans]), np.maximum.accumulate([y for _, _, y in spans])
+    before = np.searchsorted(starts, e) - 1  # the last span that starts before the word's end
+    ok = (e - s >= least) & ((before < 0) | (ends[before] <= s))
+    return h.view(np.int64)[ok], s[ok], e[ok]
+
+
+def _mentioning(bits, texts):
+    """(row, text, spans) of the texts that may mention an entity of the bitmap."""
+    for lo, _, buf, offs in chunks(texts):
+        hit = np.flatnonzero(_MARK[buf])
+        for i in np.unique(np.searchsorted(offs, hit, "right") - 1).tolist():
+            text = texts[lo + i].as_py()
+            spans = personal(text)
+            held = {_hash(f"{PII_KINDS[k]}:{text[s:e].lower()}") for s, k, e in spans}
+            if held and in_bitmap(bits, np.array([*held])).any():
+                yield lo + i, text, spans
+
+
+def _columns(parts, names):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
+
+
+def _pairs(bits, reach: int, least: int):
+    """(entity, term, context) of every entity of the bitmap and distinct term of a text."""
+    names = ["entity", "term", "context"]
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for _, text, spans in _mentioning(bits.value, batch.column(0)):
+                terms = np.unique(_terms(text, spans, least)[0])
+                for entity, context in _around(text, spans, reach, least).items():
+                    if len(terms) and in_bitmap(bits.value, np.array([entity])).all():
+                        held.append((np.full(len(terms), entity), terms, np.full(len(terms), context)))
+                        size += len(terms)
+                    if size > 1 << 18:
+                        yield _columns(held, names)
+                        held, size = [], 0
+        if held:
+            yield _columns(held, names)
+
+    return run
+
+
+def _spots(entities, bits, least: int):
+    """(key, entity, term, s, e) of every occurrence of a pair that may be a risky one."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            keys = batch.column(0)
+            for i, text, spans in _mentioning(entities.value, batch.column(1)):
+                terms, s, e = _terms(text, spans, least)
+                for entity in {_hash(f"{PII_KINDS[k]}:{text[x:y].lower()}") for x, k, y in spans}:
+                    at = np.flatnonzero(in_bitmap(bits.value, terms ^ np.int64(entity)))
+                    if len(at):
+                        held.append((np.full(len(at), keys[i].as_py()), np.full(len(at), entity), terms[at], s[at], e[at]))
+                        size += len(at)
+                    if size > 1 << 18:
+                        yield _columns(held, ["key", "entity", "term", "s", "e"])
+                        held, size = [], 0
+        if held:
+            yield _columns(held, ["key", "entity", "term", "s", "e"])
+
+    return run
+
+
 def _find(reach: int, least: int):
     def run(batches):
         for batch in batches:
@@ -80,9 +149,9 @@ def _find(reach: int, least: int):
                         counts[lo + i] = [sum(s[1] == k for s in spans) for k in range(4)]
                         shas[lo + i] = digest(spans, PII_KINDS)
                         found[lo + i] = [{"s": s, "k": k, "e": e} for s, k, e in spans]
-                        seen[lo + i] = [dict(zip(("entity", "term", "context", "s", "e"), x, strict=True)) for x in _around(text, spans, reach, least)]
+                        seen[lo + i] = [{"entity": x, "context": c} for x, c in _around(text, spans, reach, least).items()]
             span = pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())]))
-            near = pa.list_(pa.struct([(c, pa.int64()) for c in ("entity", "term", "context", "s", "e")]))
+            near = pa.list_(pa.struct([(c, pa.int64()) for c in ("entity", "context")]))
             yield pa.RecordBatch.from_arrays(
                 [keys, ids, pa.array(counts, pa.list_(pa.int64())), pa.array(shas), pa.array(found, span), pa.array(seen, near)],
                 ["key", "doc_id", "counts", "base_sha256", "found", "seen"],
@@ -91,8 +160,8 @@ def _find(reach: int, least: int):
     return run
 
 
-def _documents_of_terms(bits):
-    """(term, n): in how many texts of a batch each term that may be a candidate stands."""
+def _documents_of_terms(least: int):
+    """(term, n): in how many texts of a task each word of at least so many bytes stands."""
 
     def rows(held):
         u, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
@@ -103,8 +172,8 @@ def _documents_of_terms(bits):
         held, size = [], 0
         for batch in batches:
             for _, _, buf, offs in chunks(batch.column(0)):
-                doc, _, _, h = words(buf, offs, lower=True)
-                ok = in_bitmap(bits.value, h.view(np.int64))
+                doc, s, e, h = words(buf, offs, lower=True)
+                ok = e - s >= least
                 doc, h = doc[ok], h[ok]
                 if len(h):
                     order = np.lexsort((h, doc))
@@ -132,30 +201,35 @@ def find_spans(docs: DataFrame, *, reach: int = 8, least: int = 4, support: int
     the same as structs; `key` identifies (doc_id, text). Offsets count code points.
 
     Null and empty texts have no span. Repeated rows give equal rows, and count as one
-    context. A null doc_id stays null. Other columns are ignored; an empty table gives an
+    context but as documents each. A null doc_id stays null. Other columns are ignored; an empty table gives an
     empty result."""
     spark = docs.sparkSession
     prepare(spark)
     docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     found = stage(docs.select("key", "doc_id", "text").mapInArrow(_find(reach, least), _FOUND))
-    seen = found.where("size(seen) > 0").select("key", F.explode("seen").alias("x")).select("key", "x.*")
+    of_entity = stage(
+        found.select(F.explode("seen").alias("x")).groupBy("x.entity").agg(F.count("*").alias("mentions"), F.count_distinct("x.context").alias("contexts"))
+        .where(F.col("contexts") >= support).select("entity", "mentions")
+    )
+    entities = spark.sparkContext.broadcast(bitmap(of_entity, "entity"))
     pairs = stage(
-        seen.groupBy("entity", "term", "context").agg(F.count_distinct("key").alias("docs"))
+        docs.select("text").mapInArrow(_pairs(entities, reach, least), "entity long, term long, context long")
+        .groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
         .groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("both"))
         .where(F.col("contexts") >= support)
     )
-    bits = spark.sparkContext.broadcast(bitmap(pairs.select("term"), "term"))
-    df = docs.select("text").mapInArrow(_documents_of_terms(bits), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    of_entity = seen.groupBy("entity").agg(F.count_distinct("key").alias("mentions"))
+    df = docs.select("text").mapInArrow(_documents_of_terms(least), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     total = found.count()
     share = F.col("both") / F.greatest("n", "both")
-    risky = (
+    risky = stage(
         pairs.join(df, "term").join(of_entity, "entity")
         .where((share >= disclosure) & (F.log2(share * F.lit(float(total)) / F.col("mentions")) > 0))
         .select("entity", "term")
     )
+    near = spark.sparkContext.broadcast(bitmap(risky.select(F.col("entity").bitwiseXOR(F.col("term")).alias("pair")), "pair"))
     extra = (
-        seen.join(risky, ["entity", "term"]).groupBy("key")
+        docs.select("key", "text").mapInArrow(_spots(entities, near, least), "key long, entity long, term long, s long, e long")
+        .join(risky, ["entity", "term"]).groupBy("key")
         .agg(F.collect_set(F.struct("s", F.lit(PII_KINDS.index("term")).alias("k"), "e")).alias("extra"))
     )
     cuts = F.when(F.col("extra").isNull(), F.col("found")).otherwise(F.array_sort(F.concat("found", "extra")))

@@ -352,6 +352,15 @@ def test_pii(spark, docs):
     assert pii.find_spans(docs).count() == len(documents())
 
 
+def test_pii_terms_far_from_the_mention(spark):
+    far = [f"Quandt {prose(i, 60, 10**9)} zelmira@example.org {prose(i + 50, 60, 10**9)} é Quandt" for i in range(4)]
+    rows = [*enumerate(far), *((20 + i, prose(i, 9)) for i in range(20)), (10, "Quandt alone"), (11, "write to zelmira@example.org today"), (12, "write to zelmira@example.org today")]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in enumerate(far):
+        assert clean[i] == t.replace("Quandt", "[TERM]").replace("zelmira@example.org", "[EMAIL]")
+    assert clean[10] == "Quandt alone" and clean[11] == "write to [EMAIL] today"
+
+
 def test_pii_empty(empty):
     assert pii.find_spans(empty).count() == 0 and pii.sanitise(empty).count() == 0
 
