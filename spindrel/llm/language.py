@@ -1,12 +1,14 @@
 """A log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
-Word counts are taken over all training documents. The most frequent words have a slot
-each; all other words fall into classes by their ending, and inside a class follow their
-smoothed counts. The neural model gives the next slot from the two before: embeddings of
-the context through a matrix per position, times the slot's output vector, plus a bias.
-Every map task trains on all its tokens from one common start, and the parameters are
-averaged by tokens. As the model sees slots only, matrix products give the normaliser of
-every possible context once, so that scoring a token is a look-up.
+Word counts are taken over all training documents. Every word that stands there LEAST
+times has a slot of its own, up to MAX_OWN for the sake of memory; the occurrences of
+each class (by ending) of all other words share one slot, and inside it follow smoothed
+counts. The neural model gives the next slot from the two before, in two steps: first one
+of the WORDS most frequent words or a class, then a slot of that class. Embeddings of the
+context through a matrix per position, times the output vector of either step, plus a
+bias. Every map task trains on all its tokens from one common start, and the parameters
+are averaged by tokens. Scores are normalised in full, over the symbols of the first step
+for each distinct context of a block of text and over the slots of the target's class.
 
 Counts of frequent words (at most MAX_COMMON, 16 bytes each) are sent to the executors;
 the rarer occurrences are joined with the counts.
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 from .common import prepare, stage
 from .tokens import chunks, mix, words
 
-#: Words with a slot of their own (the end is one of them), classes, embedding size.
+#: Words that are symbols of the first step (the end is one of them), classes, embedding size.
 WORDS, CLASSES, SIZE = 512, 256, 16
+#: Occurrences that give a word its own slot, and the most such words (132 bytes each).
+LEAST, MAX_OWN = 8, 1 << 15
 MAX_COMMON = 1 << 19
 #: Noise samples and contexts in a training batch, tokens gathered before training on them.
-NOISE, BATCH, GATHER = 64, 4096, 1 << 20
+NOISE, INNER_NOISE, BATCH, GATHER = 64, 8, 4096, 1 << 20
 RATE = 0.15
 _END = mix(np.array([0x656E64], dtype=np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -83,10 +87,20 @@ def _counts(batches):
 class Slots:
     """Slots of words: 0 to len(own) - 1 for own words, then one per class."""
 
-    def __init__(self, own: np.ndarray):
-        self.own = np.sort(own)
+    def __init__(self, own: np.ndarray, group: np.ndarray, first: np.ndarray):
+        order = np.argsort(own)
+        self.own, group, first = own[order], group[order], first[order]
         self.size = len(own) + CLASSES
         self.end = int(np.searchsorted(self.own, _END))
+        # symbols of the first step by slot, and places inside classes (-1: none)
+        self.group = np.concatenate([group, np.arange(CLASSES)])
+        first = np.concatenate([first, np.zeros(CLASSES, bool)])
+        self.outer = np.where(first, np.cumsum(first) - 1, first.sum() + self.group)
+        rest = np.flatnonzero(~first)
+        self.by_class = rest[np.argsort(self.group[rest], kind="stable")]
+        self.inner = np.full(self.size, -1)
+        self.inner[self.by_class] = np.arange(len(self.by_class))
+        self.bounds = np.searchsorted(self.group[self.by_class], np.arange(CLASSES + 1))
 
     def of(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
@@ -125,17 +139,35 @@ class Bilinear:
             setattr(self, k, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def _spread(self, index, values):
-        n = len(self.b)
-        flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
-        return np.bincount(flat, values.ravel(), minlength=n * SIZE).reshape(n, SIZE)
+    def _step(self, name, g, state, index=None) -> None:
+        """An AdaGrad step, on the rows of `index` only where it is given."""
+        value = getattr(self, name)
+        s = state.setdefault(name, np.full(value.shape, 1e-6, dtype=np.float32))
+        u = slice(None)
+        if index is not None:
+            u, at = np.unique(index, return_inverse=True)
+            if g.ndim > 1:
+                flat = (at[:, None] * SIZE + np.arange(SIZE)).ravel()
+                g = np.bincount(flat, g.ravel(), minlength=len(u) * SIZE).reshape(len(u), SIZE)
+            else:
+                g = np.bincount(at, g, minlength=len(u))
+        s[u] += (g * g).astype(np.float32)
+        value[u] += (RATE * g / np.sqrt(s[u])).astype(np.float32)
+
+    def _inside(self, p, target, weight, rng, state):
+        """The gradient of the contexts by the second step; there is none here."""
+        return 0
+
+    def _symbols(self, slot):
+        return slot
 
     def train(self, two, one, target, weight, rng, state) -> None:
         """One pass over weighted (context, target) types in batches."""
         order = rng.permutation(len(target))
         for i in range(0, len(order), BATCH):
             k = order[i : i + BATCH]
-            t2, t1, t, a = two[k], one[k], target[k], weight[k].astype(np.float32)
+            t2, t1, slot, a = two[k], one[k], target[k], weight[k].astype(np.float32)
+            t = self._symbols(slot)
             a /= a.sum()
             noise = np.searchsorted(self.cumulative, rng.random(NOISE))
             r1, r2, qt, qn = self.r[t1], self.r[t2], self.q[t], self.q[noise]
@@ -144,19 +176,13 @@ class Bilinear:
             neg = p @ qn.T + (self.b - self.log_noise)[noise] - np.float32(np.log(NOISE))
             up = a / (1 + np.exp(np.clip(pos, -30, 30)))
             down = -a[:, None] / (1 + np.exp(-np.clip(neg, -30, 30)))
-            dp = up[:, None] * qt + down @ qn
-            grads = {
-                "q": self._spread(np.concatenate([t, noise]), np.concatenate([up[:, None] * p, down.T @ p])),
-                "b": np.bincount(np.concatenate([t, noise]), np.concatenate([up, down.sum(0)]), minlength=len(self.b)),
-                "r": self._spread(np.concatenate([t1, t2]), np.concatenate([dp @ self.c1.T, dp @ self.c2.T])),
-                "c1": r1.T @ dp,
-                "c2": r2.T @ dp,
-            }
-            for name, g in grads.items():
-                s = state.setdefault(name, np.full(g.shape, 1e-6, dtype=np.float32))
-                s += (g * g).astype(np.float32)
-                value = getattr(self, name)
-                value += (RATE * g / np.sqrt(s)).astype(np.float32)
+            dp = up[:, None] * qt + down @ qn + self._inside(p, slot, a, rng, state)
+            d1, d2, dc1, dc2 = dp @ self.c1.T, dp @ self.c2.T, r1.T @ dp, r2.T @ dp
+            self._step("q", np.concatenate([up[:, None] * p, down.T @ p]), state, np.concatenate([t, noise]))
+            self._step("b", np.concatenate([up, down.sum(0)]), state, np.concatenate([t, noise]))
+            self._step("r", np.concatenate([d1, d2]), state, np.concatenate([t1, t2]))
+            self._step("c1", dc1, state)
+            self._step("c2", dc2, state)
 
     @property
     def cumulative(self):
@@ -175,12 +201,78 @@ class Bilinear:
         return s1 / log10, s2 / log10, z / log10
 
 
+class Factored(Bilinear):
+    """The model of both steps; `mass` has the occurrences by slot."""
+
+    NAMES = (*Bilinear.NAMES, "q2", "b2")
+
+    def __init__(self, slots: Slots, mass: np.ndarray, seed: int = 7):
+        outer = np.bincount(slots.outer, mass)
+        super().__init__(outer / outer.sum(), seed)
+        rng = np.random.default_rng(seed + 1)
+        self.slots = slots
+        self.r = rng.normal(0, 0.3, (slots.size, SIZE)).astype(np.float32)
+        inner = mass[slots.by_class]
+        self.sums = np.concatenate([[0.0], np.cumsum(inner)])
+        lo, hi = slots.bounds[:-1], slots.bounds[1:]
+        self.log_share = np.log(inner / np.repeat(self.sums[hi] - self.sums[lo], hi - lo)).astype(np.float32)
+        self.q2 = rng.normal(0, 0.05, (len(inner), SIZE)).astype(np.float32)
+        self.b2 = self.log_share.copy()
+
+    def _symbols(self, slot):
+        return self.slots.outer[slot]
+
+    def _inside(self, p, target, weight, rng, state):
+        out = np.zeros_like(p)
+        rows = np.flatnonzero(self.slots.inner[target] >= 0)
+        if not len(rows):
+            return out
+        t, g, p, a = self.slots.inner[target[rows]], self.slots.group[target[rows]], p[rows], weight[rows]
+        lo, hi = self.slots.bounds[g][:, None], self.slots.bounds[g + 1][:, None]
+        draw = self.sums[lo] + rng.random((len(rows), INNER_NOISE)) * (self.sums[hi] - self.sums[lo])
+        noise = np.clip(np.searchsorted(self.sums, draw, "right") - 1, lo, hi - 1)
+        at = np.concatenate([t[:, None], noise], axis=1)
+        q = self.q2[at]
+        x = np.einsum("ij,ikj->ik", p, q) + self.b2[at] - self.log_share[at] - np.float32(np.log(INNER_NOISE))
+        x = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        d = -a[:, None] * x
+        d[:, 0] += a
+        out[rows] = np.einsum("ik,ikj->ij", d, q)
+        self._step("q2", (d[:, :, None] * p[:, None, :]).reshape(-1, SIZE), state, at.ravel())
+        self._step("b2", d.ravel(), state, at.ravel())
+        return out
+
+    def log10(self, two, one, target, block: int = 1 << 12):
+        """log10 p(target | two, one) of slots."""
+        slots = self.slots
+        u, at = np.unique(two.astype(np.int64) * slots.size + one, return_inverse=True)
+        p = self.r[u % slots.size] @ self.c1 + self.r[u // slots.size] @ self.c2
+
+        def norm(x):
+            top = x.max(1)
+            return top + np.log(np.exp(x - top[:, None]).sum(1))
+
+        z = np.concatenate([norm(p[i : i + block] @ self.q.T + self.b) for i in range(0, len(p), block)]) if len(p) else np.zeros(0)
+        t = slots.outer[target]
+        out = ((p[at] * self.q[t]).sum(1) + self.b[t] - z[at]).astype(np.float64)
+        rows = np.flatnonzero(slots.inner[target] >= 0)
+        rows = rows[np.argsort(slots.group[target[rows]], kind="stable")]
+        cuts = np.searchsorted(slots.group[target[rows]], np.arange(CLASSES + 1))
+        for g in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(slots.bounds) > 1)).tolist():
+            lo, hi = slots.bounds[g], slots.bounds[g + 1]
+            for i in range(cuts[g], cuts[g + 1], block):
+                k = rows[i : min(i + block, cuts[g + 1])]
+                x = p[at[k]] @ self.q2[lo:hi].T + self.b2[lo:hi]
+                out[k] += x[np.arange(len(k)), slots.inner[target[k]] - lo] - norm(x)
+        return out / np.log(10)
+
+
 def _locally(shared):
     """Parameters trained on the tokens of one task."""
 
     def run(batches):
-        slots, noise = shared.value
-        model, state = Bilinear(noise), {}
+        slots, mass = shared.value
+        model, state = Factored(slots, mass), {}
         part = TaskContext.get().partitionId()
         rng = np.random.default_rng(part)
         n, held, size, seen = slots.size, [], 0, 0
@@ -233,8 +325,8 @@ def _packed(batches):
 
 def _scored(shared):
     def run(batches):
-        slots, tables, common_h, common_c, class_norm, base_norm = shared.value
-        s1, s2, z = tables
+        model, common_h, common_c, class_norm, base_norm = shared.value
+        slots = model.slots
         log_c = np.log10(common_c + 0.5)
         row0 = TaskContext.get().partitionId() << 33
         rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
@@ -245,7 +337,7 @@ def _scored(shared):
                 doc, h, g, end = tokens(buf, offs)
                 slot = slots.of(h, g)
                 two, one = slots.context(slot, end)
-                score = (s1[one, slot] + s2[two, slot] - z[two, one]).astype(np.float64)
+                score = model.log10(two, one, slot)
                 u, at = np.unique(h, return_inverse=True)
                 k = np.minimum(np.searchsorted(common_h, u), max(len(common_h) - 1, 0))
                 known = (common_h[k] == u) if len(common_h) else np.zeros(len(u), bool)
@@ -299,7 +391,8 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1) -> DataFrame:
     groups = {r["g"]: (r["n"], r["v"]) for r in counts.groupBy("g").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     total, distinct = sum(n for n, _ in groups.values()), sum(v for _, v in groups.values())
     end = int(_END.astype(np.int64))
-    top = counts.where(F.col("h") != end).orderBy(F.desc("c"), "h").limit(WORDS - 1).collect()
+    top = counts.where(F.col("h") != end).orderBy(F.desc("c"), "h").limit(MAX_OWN).collect()
+    top = [r for i, r in enumerate(top) if i < WORDS - 1 or r["c"] >= LEAST]
     own = {r["h"]: (r["g"], r["c"]) for r in [*top, *counts.where(F.col("h") == end).collect()]}
     left_n, left_v = np.zeros(CLASSES), np.zeros(CLASSES)
     for g, (n, v) in groups.items():
@@ -307,16 +400,20 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1) -> DataFrame:
     for g, c in own.values():
         left_n[g] -= c
         left_v[g] -= 1
-    slots = Slots(np.array([*{*own, end}], dtype=np.int64).view(np.uint64))
-    mass = np.array([own.get(h, (0, 0))[1] for h in slots.own.view(np.int64).tolist()] + left_n.tolist()) + 0.5
-    noise = mass / mass.sum()
-
-    model = Bilinear(noise)
-    trained = training.mapInArrow(_locally(spark.sparkContext.broadcast((slots, noise))), "part int, tokens double, params binary")
-    parts = trained.repartition(32, "part").sortWithinPartitions("part").mapInArrow(_summed, "part int, tokens double, params binary").collect()
-    if parts:
-        weight = sum(r["tokens"] for r in parts)
-        model.put(sum(r["tokens"] / weight * np.frombuffer(bytes(r["params"]), dtype=np.float32) for r in sorted(parts, key=lambda r: r["part"])))
+    own.setdefault(end, (0, 0))
+    first = {end, *(r["h"] for r in top[: WORDS - 1])}
+    slots = Slots(np.array([*own], dtype=np.int64).view(np.uint64), np.array([g for g, _ in own.values()]), np.array([h in first for h in own]))
+    mass = np.array([own[h][1] for h in slots.own.view(np.int64).tolist()] + left_n.tolist()) + 0.5
+
+    model = Factored(slots, mass)
+    trained = training.mapInArrow(_locally(spark.sparkContext.broadcast((slots, mass))), "part int, tokens double, params binary")
+    parts = trained.repartition(32, "part").sortWithinPartitions("part").mapInArrow(_summed, "part int, tokens double, params binary")
+    weight, params = 0.0, 0.0
+    for r in stage(parts).toLocalIterator():
+        weight += r["tokens"]
+        params = params + r["tokens"] * np.frombuffer(bytes(r["params"]), dtype=np.float32).astype(np.float64)
+    if weight:
+        model.put(params / weight)
 
     size = F.floor(F.log2("c") * 8).cast("int")
     least, many = None, 0
@@ -334,7 +431,7 @@ def score(docs: DataFrame, *, folds: int = 5, held_fold: int = 1) -> DataFrame:
     order = np.argsort(common_h)
     common_h, common_c = common_h[order], common_c[order]
     shared = spark.sparkContext.broadcast(
-        (slots, model.tables(), common_h, common_c, np.log10(left_n + 0.5 * (left_v + 1)), float(np.log10(total + 0.5 * (distinct + 1))))
+        (model, common_h, common_c, np.log10(left_n + 0.5 * (left_v + 1)), float(np.log10(total + 0.5 * (distinct + 1))))
     )
     scored = stage(docs.mapInArrow(_scored(shared), _SCORED))
     rare = scored.where("size(rare) > 0").select("row", F.explode("rare").alias("x")).select("row", "x.h", "x.n")

@@ -312,6 +312,25 @@ def test_language_model_beats_counts(spark):
     assert got and all(r["score"] > r["base_score"] for r in got)
 
 
+def test_language_model_tells_words_of_a_class_apart(spark):
+    """Words beyond the 512 first: red comes before x0001, blue before y0001, of equal class."""
+    r = random.Random(6)
+    rows = [(i, " ".join(f"red x{r.randrange(600):04d} blue y{r.randrange(600):04d}" for _ in range(1000))) for i in range(300)]
+    got = language.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).where("held_out").collect()
+    assert sum(x["score"] - x["base_score"] for x in got) / sum(x["n_tokens"] for x in got) > 0.31
+
+
+def test_factored_model_is_normalised():
+    rng = np.random.default_rng(3)
+    slots = language.Slots(np.append(rng.integers(1, 2**63, 99, dtype=np.uint64), language._END), np.arange(100) % 5, np.arange(100) >= 90)
+    model = language.Factored(slots, rng.random(slots.size) + 0.1)
+    two, one, target = (rng.integers(0, slots.size, 5000) for _ in range(3))
+    model.train(two, one, target, np.ones(5000), rng, {})
+    every = np.arange(slots.size)
+    for a, b in ((0, 1), (3, 200), (slots.size - 1, slots.end)):
+        assert abs((10 ** model.log10(np.full(slots.size, a), np.full(slots.size, b), every)).sum() - 1) < 1e-3
+
+
 def test_language_model_empty(empty):
     assert language.score(empty).count() == 0
 
