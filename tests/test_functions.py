@@ -123,3 +123,14 @@ def test_near_names(spark):
 def test_token_diff(spark):
     got = spark.createDataFrame([("a b c", "a x c")], "o string, n string").select(similarity.token_diff("o", "n").alias("d")).first()["d"]
     assert [(r["op"], r["text"]) for r in got] == [("keep", "a "), ("del", "b "), ("add", "x "), ("keep", "c")]
+
+
+def test_link_queries_unwrap_nested_redirects(spark, tmp_path):
+    from spindrel.plans import links
+
+    wrapped = ["https://shop.example.com/a", "https://www.google.com/url?q=https%3A%2F%2Fwww.google.com%2Furl%3Fq%3Dhttps%253A%252F%252Fshop.example.com%252Fa"]
+    rows = [(2 * i, u, "<p>x</p>") for i, u in enumerate(wrapped)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert [(r["url_key"], r["n_sightings"]) for r in links.url_key_dedup(spark, str(tmp_path)).collect()] == [("https://shop.example.com/a", 4)]
+    assert [tuple(r) for r in links.url_targets(spark, str(tmp_path)).select("url_key", "items").collect()] == [("https://shop.example.com/a", "0,2")]
+    assert sum(r["n_links"] for r in links.link_coverage_by_host(spark, str(tmp_path)).collect()) == 1
