@@ -42,15 +42,16 @@ _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.IGNORECASE) for name in
 
 
 class _Node:
-    __slots__ = ("chars", "kids", "links", "parent", "score", "skip", "tag", "within")
+    __slots__ = ("chars", "kids", "links", "named", "parent", "score", "skip", "tag", "within")
 
-    def __init__(self, tag, parent, skip, within):
-        self.tag, self.parent, self.skip, self.within = tag, parent, skip, within
+    def __init__(self, tag, parent, skip, within, named=False):
+        self.tag, self.parent, self.skip, self.within, self.named = tag, parent, skip, within, named
         self.kids: list = []
         self.score, self.chars, self.links = 0.0, 0, 0
 
 
-def _skipped(tag: str, attrs: str, within: bool) -> bool:
+def _skipped(tag: str, attrs: str, within: bool) -> bool | None:
+    """Whether an element never counts; None if only its name says so."""
     if tag in _SKIP or (tag == "header" and not within):
         return True
     if not attrs.strip(" /\t\r\n"):
@@ -63,7 +64,7 @@ def _skipped(tag: str, attrs: str, within: bool) -> bool:
     if tag in ("html", "body", "article", "main"):
         return False
     words = {w for k in ("class", "id") for w in _PARTS.split(found.get(k, "").lower())}
-    return bool(words & _NAMES) and not (tag in _HEADINGS or (tag == "header" and within))
+    return None if words & _NAMES and not (tag in _HEADINGS or (tag == "header" and within)) else False
 
 
 def _tree(page: str):
@@ -177,7 +178,8 @@ def _tree(page: str):
                 continue
             if attrs.endswith("/") and tag not in _BLOCK:
                 continue
-            node = _Node(tag, parent, parent.skip or _skipped(tag, attrs, parent.within), within)
+            skip = _skipped(tag, attrs, parent.within)
+            node = _Node(tag, parent, parent.skip or bool(skip), within, skip is None)
             parent.kids.append(node)
             stack.append(node)
             open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -188,16 +190,49 @@ def _tree(page: str):
     return root, blocks
 
 
+def _points(node: _Node, text: str) -> float:
+    return 0.0 if len(text) < 25 else (1 + text.count(",") + min(len(text) / 100, 3)) * (0.2 if node.tag in _HEADINGS else 1)
+
+
+def _without_named(root: _Node, blocks):
+    """The blocks outside elements that are skipped for their name: such an element is
+    kept if it holds an article or main with text, or most of the page's points."""
+    points: dict[int, float] = {}
+    whole: set[int] = set()
+    total = 0.0
+    for node, text, links in blocks:
+        worth = _points(node, text) * (1 - links / len(text))
+        total += worth
+        x, inside = node, False
+        while x is not None:
+            if x is not node:  # as in the scoring, text gives points to what is around it
+                points[id(x)] = points.get(id(x), 0.0) + worth
+            if inside:
+                whole.add(id(x))
+            inside = inside or x.tag in ("article", "main")
+            x = x.parent
+    todo = [root]
+    while todo:  # parents first
+        x = todo.pop()
+        if x.named and id(x) not in whole and points.get(id(x), 0.0) <= total / 2:
+            x.skip = True
+        for kid in x.kids:
+            kid.skip = kid.skip or x.skip
+            todo.append(kid)
+    return [b for b in blocks if not b[0].skip]
+
+
 def main_text(page: str | None) -> str:
     """The page's article: its blocks in page order, joined by an empty line."""
     if not page:
         return ""
     root, blocks = _tree(page)
+    blocks = _without_named(root, blocks)
     best = None
     seen: dict[int, _Node] = {}
     for node, text, links in blocks:
         x, level = node, 0
-        points = 0.0 if len(text) < 25 else (1 + text.count(",") + min(len(text) / 100, 3)) * (0.2 if node.tag in _HEADINGS else 1)
+        points = _points(node, text)
         while x is not None:
             x.chars += len(text)
             x.links += links

@@ -401,6 +401,14 @@ def test_main_text(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "social search"])
+def test_main_text_in_a_wrapper_with_a_skipped_name(name):
+    text = "The article's text, with commas, and long enough to count."
+    aside = "<div class=sidebar><p>Other words, many of them, beside it.</p></div>"
+    assert html.main_text(f"<body><div class='{name}'><main><p>{text}</p></main>{aside}</div></body>") == text
+    assert html.main_text(f"<body><div class='{name}'><div><p>{text}</p><p>{text}</p></div>{aside}</div></body>") == f"{text}\n\n{text}"
+
+
 def test_html_in_linear_time():
     assert html.main_text("<div>" * 3000 + "<b" * 50_000) == ""
     assert html.main_text("<!--" * 50_000 + "<p>x") == ""
