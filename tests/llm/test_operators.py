@@ -11,6 +11,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions
+
 from spindrel.llm import chat, components, decontaminate, html, language, minhash, mixing, pii, quality, secrets, spans, substrings, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -432,6 +434,14 @@ def test_mixing(docs, spark):
     assert sorted(str(r["doc_id"]) for r in chosen.collect()) == sorted(str(r["doc_id"]) for r in got if r["selected"])
 
 
+def test_sample_by_a_given_topic(spark):
+    subject = functions.col("subject")
+    rows = [(i, f"w{i} two three", "s", "en", f"t{i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, subject string")
+    want = {r["doc_id"] for r in mixing.calibrated(df, topic=subject).where("selected").collect()}
+    assert want and {r["doc_id"] for r in mixing.sample(df, topic=subject).collect()} == want
+
+
 def test_raking_meets_the_targets(spark):
     cells = spark.createDataFrame([(s, g, t, 10 + 7 * i + 3 * j * k) for i, s in enumerate("abc") for j, g in enumerate("xy") for k, t in enumerate("12")], "source string, lang string, topic string, tokens long")
     targets = {
