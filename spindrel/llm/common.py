@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of a membership bitmap (8 MB): a fixed size, whatever the input.
-BITMAP_BITS = 1 << 26
+#: Bits of a membership bitmap: BITS_PER_KEY for each key, between these two (64 MB).
+BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; one of our own only if that is unset."""
+    """The shared folder named by spark.checkpoint.dir. Where it is unset, a folder of our
+    own, but only if driver and executors are one process; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spindrel-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -32,7 +36,24 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/work-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a stage() that no later plan reads."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """`name`, or with as many underscores before it as it takes not to be one of `columns`."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,18 +65,22 @@ def partitions(spark: SparkSession) -> int:
 
 
 def bitmap(keys: DataFrame, column: str) -> bytes:
-    """A BITMAP_BITS bitmap of 64-bit keys (bit = key mod BITMAP_BITS), built by native
-    aggregation. It is at most 8 MB, so it may be sent everywhere; a clear bit proves
-    absence, a set bit proves nothing."""
-    pos = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1  # bucket and bit counts start at 1
+    """A bitmap of 64-bit keys (bit = key mod size), built by native aggregation, that may be
+    sent everywhere: its size follows the number of rows up to 64 MB. A clear bit proves
+    absence, a set bit proves nothing: an exact join must follow. Beyond some hundred
+    million keys it clears ever less, and that join moves ever more; results are the same."""
+    size = LEAST_BITS
+    wanted = min(MOST_BITS, BITS_PER_KEY * keys.count())
+    while size < wanted:
+        size *= 2
+    pos = F.pmod(F.col(column), F.lit(size)) + 1  # bucket and bit counts start at 1
     rows = (
         keys.select(F.bitmap_bucket_number(pos).alias("b"), F.bitmap_bit_position(pos).alias("p"))
         .groupBy("b")
         .agg(F.bitmap_construct_agg("p").alias("bits"))
-        .collect()
     )
-    out = bytearray(BITMAP_BITS // 8)
-    for r in rows:
+    out = bytearray(size // 8)
+    for r in rows.toLocalIterator():
         out[(r["b"] - 1) * 4096 : r["b"] * 4096] = bytes(r["bits"])
     return bytes(out)
 
@@ -65,10 +90,28 @@ def in_bitmap(bits, keys):
     import numpy as np
 
     table = np.frombuffer(bits, dtype=np.uint8)
-    pos = keys.astype(np.int64, copy=False) & np.int64(BITMAP_BITS - 1)
+    pos = keys.astype(np.int64, copy=False) & np.int64(8 * len(table) - 1)
     return (table[pos >> 3] >> (pos & 7).astype(np.uint8)) & 1 == 1
 
 
+def _column_bytes(batches):
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(c.to_numpy(zero_copy_only=False)).tobytes()], pa.binary()) for c in batch.columns], batch.schema.names)
+
+
+def to_driver(df: DataFrame) -> list:
+    """The bigint columns of a table of proven size as numpy arrays, sent in packed form."""
+    import numpy as np
+
+    packed = df.mapInArrow(_column_bytes, ", ".join(f"{c} binary" for c in df.columns))
+    parts = [[np.frombuffer(bytes(x), dtype=np.int64) for x in r] for r in packed.toLocalIterator()]
+    return [np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(len(df.columns))]
+
+
 def complete_groups(batches, key: str):
     """From batches whose rows are sorted by `key`, Arrow tables of whole groups only."""
     import pyarrow as pa

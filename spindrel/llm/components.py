@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 
 def _state(edges: DataFrame):
@@ -34,7 +34,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not before[0]:
             break
-        edges = stage(_small_star(_large_star(edges)))
+        last, edges = edges, stage(_small_star(_large_star(edges)))
+        discard(last)
         after = _state(edges)
         if after == before:
             break

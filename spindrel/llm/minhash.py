@@ -10,8 +10,10 @@ the match threshold is confirmed on the full sets.
 
 Sets that are equal are one node from the start, and inside a posting list a couple
 that is already linked through others is not compared again, so a group of copies
-gives links in proportion to its size. A value shared by very many sets is split into
-blocks, which are met two at a time.
+gives links in proportion to its size. A value shared by more than BLOCK sets, by exact
+count, is split into blocks, which are met two at a time. The order by frequency only
+needs to be one and the same everywhere: it tells the most frequent values apart, whose
+counts are sent to the executors, and takes all others as equally rare.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, bounds, complete_groups, in_bitmap, partitions, prepare, stage
+from .common import bitmap, bounds, complete_groups, in_bitmap, partitions, prepare, stage, to_driver
 from .components import components
 from .tokens import chunks, mix, powers, shingle_sets
 
@@ -32,6 +34,8 @@ COORDS = 96
 BLOCK = 2048
 #: Posting lists up to this length are turned into couples.
 SHORT = 8
+#: Counts up to this one are all taken as rare.
+RARE = 32
 #: Most frequent coordinate-value pairs whose counts are sent to the executors (16 bytes each).
 MAX_FREQUENT = 1 << 20
 _U = np.uint64
@@ -115,27 +119,28 @@ def _postings(shared, need: int):
             if not len(nodes):
                 continue
             keys = _keys(sig)
-            rank, n = _ranks(keys, frequent, counts)
+            rank, _ = _ranks(keys, frequent, counts)
             keep = min(sig.shape[1], sig.shape[1] - need + 1)
             first = np.argpartition(rank, keep - 1, axis=1)[:, :keep] if keep < sig.shape[1] else np.arange(keep)[None, :].repeat(len(sig), 0)
-            key, rank, n = (np.take_along_axis(x, first, 1).ravel() for x in (keys, rank, n))
-            node = nodes.repeat(keep)
-            blocks = np.maximum(1, -(-n // BLOCK))
-            own = (mix(node.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
-            times = blocks  # a row for each block that its own block meets, itself included
-            at = np.arange(len(node)).repeat(times)
-            other = np.arange(len(at)) - np.concatenate([[0], np.cumsum(times)[:-1]]).repeat(times)
-            mine = own[at]
-            a, b = np.minimum(mine, other), np.maximum(mine, other)
-            group = np.where(blocks[at] == 1, key[at], mix(key[at] + (a * blocks[at] + b + 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
-            side = np.where(a == b, 0, np.where(mine == a, 1, 2)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group.view(np.int64)), pa.array(rank[at].view(np.int64)), pa.array(node[at]), pa.array(side)], ["grp", "rank", "node", "side"]
-            )
+            key, rank = (np.take_along_axis(x, first, 1).ravel() for x in (keys, rank))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rank.view(np.int64)), pa.array(nodes.repeat(keep))], ["key", "rank", "node"])
 
     return run
 
 
+def lists(posted: DataFrame, wide: DataFrame) -> DataFrame:
+    """(grp, rank, node, side) of the postings (key, rank, node): a list of `wide` (key, n) is
+    dealt into blocks, and each couple of blocks is a group, where side tells which of the
+    two a row is from (0: both are the same)."""
+    wide = wide.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    split = posted.join(wide, "key", "left").withColumn("own", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    split = split.withColumn("other", F.explode(F.expr("if(blocks is null, array(0), sequence(0, blocks - 1))")))
+    return split.selectExpr(
+        "if(blocks is null, key, xxhash64(key, least(own, other), greatest(own, other))) as grp", "rank", "node",
+        "case when blocks is null or own = other then 0 when own < other then 1 else 2 end as side",
+    )
+
+
 def _collisions(shared, need: int):
     """Of each group the nodes that agree `need` times with another, and whose first
     shared pair is the group's own."""
@@ -279,13 +284,14 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
     nodes = stage(signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.min("sig").alias("sig")))
 
     counts = nodes.select("sig").mapInArrow(_all_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    least = max(32, nodes.count() * coords // MAX_FREQUENT)  # at most MAX_FREQUENT keys are that frequent
-    frequent = sorted(((r[0] % (1 << 64)), r[1]) for r in counts.where(F.col("n") > least).collect())
-    shared = spark.sparkContext.broadcast(
-        (np.array([k for k, _ in frequent], dtype=np.uint64).tobytes(), np.array([n for _, n in frequent], dtype=np.int64).tobytes())
-    )
-
-    posted = nodes.select("node", "sig").mapInArrow(_postings(shared, need), "grp long, rank long, node long, side int")
+    heavy = stage(counts.where(F.col("n") > RARE))
+    least = max(RARE, nodes.count() * coords // MAX_FREQUENT)  # at most MAX_FREQUENT keys are more frequent
+    frequent, times = to_driver(heavy.where(F.col("n") > least))
+    order = np.argsort(frequent.view(np.uint64))
+    shared = spark.sparkContext.broadcast((frequent[order].tobytes(), times[order].tobytes()))
+
+    posted = nodes.select("node", "sig").mapInArrow(_postings(shared, need), "key long, rank long, node long")
+    posted = lists(posted, heavy.where(F.col("n") > BLOCK))
     several = stage(posted.withColumn("n", F.count("*").over(Window.partitionBy("grp"))).where("n > 1"))
     # short lists: their couples, each once however many lists it shares; long lists: in one task per list
     couples = (
@@ -307,6 +313,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
     marks = active.join(nodes.select("node", "first"), "node").select(F.expr("node ^ shiftleft(coalesce(first, 0L), 17)").alias("k"))
     bits = spark.sparkContext.broadcast(bitmap(marks, "k"))
     sets = docs.mapInArrow(_sets(words, bits), "node long, shingles binary")
+    sets = sets.join(active.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
     full = active.distinct().join(sets, "node").join(sig, "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
     edges = full.mapInArrow(_confirmed(shared, need, percent), "u long, v long")
 

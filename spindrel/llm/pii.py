@@ -13,7 +13,6 @@ that copies of one passage are one context.
 from __future__ import annotations
 
 import hashlib
-
 import re
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, in_bitmap, prepare, stage
+from .common import bitmap, fresh, in_bitmap, prepare, stage
 from .spans import PII_KINDS, digest, personal
 from .tokens import chunks, text_buffers, words
 
@@ -112,24 +111,24 @@ def _pairs(bits, reach: int, least: int):
 
 
 def _spots(entities, bits, least: int):
-    """(key, entity, term, s, e) of every occurrence of a pair that may be a risky one."""
+    """(key, id, entity, term, s, e) of every occurrence of a pair that may be a risky one."""
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            keys = batch.column(0)
-            for i, text, spans in _mentioning(entities.value, batch.column(1)):
+            keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, text, spans in _mentioning(entities.value, batch.column(2)):
                 terms, s, e = _terms(text, spans, least)
                 for entity in {_hash(f"{PII_KINDS[k]}:{text[x:y].lower()}") for x, k, y in spans}:
                     at = np.flatnonzero(in_bitmap(bits.value, terms ^ np.int64(entity)))
                     if len(at):
-                        held.append((np.full(len(at), keys[i].as_py()), np.full(len(at), entity), terms[at], s[at], e[at]))
+                        held.append((np.full(len(at), keys[i]), np.full(len(at), ids[i]), np.full(len(at), entity), terms[at], s[at], e[at]))
                         size += len(at)
                     if size > 1 << 18:
-                        yield _columns(held, ["key", "entity", "term", "s", "e"])
+                        yield _columns(held, ["key", "id", "entity", "term", "s", "e"])
                         held, size = [], 0
         if held:
-            yield _columns(held, ["key", "entity", "term", "s", "e"])
+            yield _columns(held, ["key", "id", "entity", "term", "s", "e"])
 
     return run
 
@@ -228,18 +227,24 @@ def find_spans(docs: DataFrame, *, reach: int = 8, least: int = 4, support: int
     )
     near = spark.sparkContext.broadcast(bitmap(risky.select(F.col("entity").bitwiseXOR(F.col("term")).alias("pair")), "pair"))
     extra = (
-        docs.select("key", "text").mapInArrow(_spots(entities, near, least), "key long, entity long, term long, s long, e long")
-        .join(risky, ["entity", "term"]).groupBy("key")
+        docs.select("key", _id("doc_id"), "text").mapInArrow(_spots(entities, near, least), "key long, id long, entity long, term long, s long, e long")
+        .join(risky, ["entity", "term"]).groupBy("key", "id")
         .agg(F.collect_set(F.struct("s", F.lit(PII_KINDS.index("term")).alias("k"), "e")).alias("extra"))
     )
     cuts = F.when(F.col("extra").isNull(), F.col("found")).otherwise(F.array_sort(F.concat("found", "extra")))
-    return named(found.drop("seen").join(extra, "key", "left").withColumn("cuts", cuts), PII_KINDS).select(
+    return named(found.drop("seen").withColumn("id", _id("doc_id")).join(extra, ["key", "id"], "left").withColumn("cuts", cuts), PII_KINDS).select(
         "key", "doc_id", *(F.col("counts")[i].alias(f"n_{k}") for i, k in enumerate(PII_KINDS[:4])), "base_sha256", "spans", "cuts"
     )
 
 
+def _id(doc_id: str):
+    """doc_id as a column to join on, without nulls (keys of null and 0 differ anyway)."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")).alias("id")
+
+
 def keyed(docs: DataFrame, name: str = "key") -> DataFrame:
-    """All columns, and one that identifies (doc_id, text)."""
+    """All columns, and a hash of (doc_id, text). Rows are joined on it and doc_id together,
+    so only different texts under one doc_id could ever be taken for each other."""
     return docs.select(*(c for c in docs.columns if c != name), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias(name))
 
 
@@ -259,36 +264,40 @@ def mask(text: str, cuts) -> str:
     return "".join([*out, text[at:]])
 
 
-#: Names that sanitise() adds to a caller's columns for a while.
-_KEY, _CUTS = "__pii_key", "__pii_cuts"
-
+def _masked(cuts: str):
+    def run(batches):
+        for batch in batches:
+            texts = [mask(t, [(c["s"], c["k"], c["e"]) for c in own]) if t else t for t, own in zip(batch["text"].to_pylist(), batch[cuts].to_pylist(), strict=True)]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns([cuts])
 
-def _masked(batches):
-    for batch in batches:
-        texts = [mask(t, [(c["s"], c["k"], c["e"]) for c in cuts]) if t else t for t, cuts in zip(batch["text"].to_pylist(), batch[_CUTS].to_pylist(), strict=True)]
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns([_CUTS])
+    return run
 
 
-def _split(bits, want: bool):
+def _split(bits, want: bool, key: str):
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(in_bitmap(bits.value, batch[_KEY].to_numpy()) == want))
+                yield batch.filter(pa.array(in_bitmap(bits.value, batch[key].to_numpy()) == want))
 
     return run
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with the spans of find_spans() masked in `text`; every other column and row
-    stays. Only texts that may have a span are moved."""
+    """`docs` with the spans of find_spans() masked in `text`, a run of overlapping spans by
+    the kind of its first in brackets; every other column and row stays as it is, whatever
+    its name. Only texts that may have a span are moved.
+
+    Null and empty texts stay; repeated rows are masked alike; a null doc_id stays null. An
+    empty table gives an empty result."""
     spark = docs.sparkSession
     names = docs.columns
+    key, number, cuts = (fresh(names, c) for c in ("pii_key", "pii_id", "pii_cuts"))
     found = find_spans(docs, **options).where("size(cuts) > 0")
-    cuts = stage(found.select(F.col("key").alias(_KEY), F.col("cuts").alias(_CUTS)).dropDuplicates([_KEY]))
-    bits = spark.sparkContext.broadcast(bitmap(cuts, _KEY))
-    docs = keyed(docs, _KEY)
-    clean = docs.mapInArrow(_split(bits, False), docs.schema).select(*names)
-    marked = docs.mapInArrow(_split(bits, True), docs.schema).join(cuts, _KEY, "left")
-    marked = marked.withColumn(_CUTS, F.coalesce(_CUTS, F.expr(f"cast(array() as {_SPANS})")))
-    return clean.unionAll(marked.mapInArrow(_masked, marked.drop(_CUTS).schema).select(*names))
+    held = stage(found.select(F.col("key").alias(key), _id("doc_id").alias(number), F.col("cuts").alias(cuts)).dropDuplicates([key, number]))
+    bits = spark.sparkContext.broadcast(bitmap(held, key))
+    docs = keyed(docs, key)
+    clean = docs.mapInArrow(_split(bits, False, key), docs.schema).select(*names)
+    marked = docs.mapInArrow(_split(bits, True, key), docs.schema).withColumn(number, _id("doc_id")).join(held, [key, number], "left")
+    marked = marked.withColumn(cuts, F.coalesce(cuts, F.expr(f"cast(array() as {_SPANS})")))
+    return clean.unionAll(marked.mapInArrow(_masked(cuts), marked.drop(cuts).schema).select(*names))

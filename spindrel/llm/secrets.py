@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, stage
-from .pii import keyed, named
+from .pii import named
 from .spans import SECRET_KINDS, credentials, digest
 from .tokens import chunks, words
 
 _FOUND = (
-    "key long, doc_id long, owner string, repo string, counts array<bigint>, base_sha256 string, "
+    "doc_id long, owner string, repo string, counts array<bigint>, base_sha256 string, "
     "found array<struct<s: bigint, k: int, e: bigint>>, candidates array<struct<h: bigint, s: bigint, k: int, e: bigint>>"
 )
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
@@ -88,8 +88,8 @@ def _find(least_bits: float):
                     ]
             span = [("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in ("key", "doc_id", "owner", "repo")), pa.array(counts, pa.list_(pa.int64())), pa.array(shas), pa.array(found, pa.list_(pa.struct(span))), pa.array(cands, pa.list_(pa.struct([("h", pa.int64()), *span])))],
-                ["key", "doc_id", "owner", "repo", "counts", "base_sha256", "found", "candidates"],
+                [*(batch[c] for c in ("doc_id", "owner", "repo")), pa.array(counts, pa.list_(pa.int64())), pa.array(shas), pa.array(found, pa.list_(pa.struct(span))), pa.array(cands, pa.list_(pa.struct([("h", pa.int64()), *span])))],
+                ["doc_id", "owner", "repo", "counts", "base_sha256", "found", "candidates"],
             )
 
     return run
@@ -108,12 +108,12 @@ def scan(docs: DataFrame, *, owner: str | None = "source", repo: str | None = No
     prepare(spark)
     by = F.coalesce(F.col(owner).cast("string"), F.lit("")) if owner in docs.columns else F.lit("")
     at = F.coalesce(F.col(repo).cast("string"), F.lit("")) if repo in docs.columns else by
-    docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), by.alias("owner"), at.alias("repo")))
-    found = stage(docs.mapInArrow(_find(least_bits), _FOUND))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), by.alias("owner"), at.alias("repo"))
+    found = stage(docs.mapInArrow(_find(least_bits), _FOUND).withColumn("key", F.monotonically_increasing_id()))  # a number for each row
     held = found.where("size(candidates) > 0").select("key", "owner", "repo", F.explode("candidates").alias("c")).select("key", "owner", "repo", "c.*")
     owners = held.select("h", "owner", "repo").distinct().groupBy("h").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"))
     live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
-    judged = held.select("key", "h", "s", "k", "e").distinct().join(owners, "h").withColumn("live", live)
+    judged = held.select("key", "h", "s", "k", "e").join(owners, "h").withColumn("live", live)
     per_doc = judged.groupBy("key").agg(
         F.count_if("live").alias("n_live"),
         F.count_if(~F.col("live")).alias("n_example"),

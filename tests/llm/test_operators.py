@@ -13,7 +13,7 @@ import pytest
 
 from pyspark.sql import functions
 
-from spindrel.llm import chat, components, decontaminate, html, language, minhash, mixing, pii, quality, secrets, spans, substrings, tokens
+from spindrel.llm import chat, common, components, decontaminate, html, language, minhash, mixing, pii, quality, secrets, spans, substrings, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, grp string, key string, h long"
@@ -490,3 +490,66 @@ def test_secret_scan(spark, docs):
 
 def test_secret_scan_empty(empty):
     assert secrets.scan(empty).count() == 0
+
+
+# ---- awkward column names, work tables
+
+
+def test_clashing_names(spark):
+    rows = [(i, prose(i, 30) + " mail me@example.org", f"s{i % 3}", "en", *range(9)) for i in range(60)]
+    names = ["p", "_topic", "_source", "_kept", "mix_source", "mix_p", "pii_key", "pii_cuts", "n"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, " + ", ".join(f"{n} int" for n in names))
+    chosen = mixing.sample(df)
+    want = {r["doc_id"] for r in mixing.calibrated(df).where("selected").collect()}
+    assert chosen.columns == [*df.columns, "probability"] and {r["doc_id"] for r in chosen.collect()} == want
+    again = mixing.sample(chosen)
+    assert again.columns == chosen.columns
+    masked = pii.sanitise(df)
+    assert masked.columns == df.columns and all("[EMAIL]" in r["text"] and r["pii_key"] == 6 for r in masked.collect())
+    assert len({r["component_id"] for r in minhash.near_duplicates(df).collect()}) == 60
+
+
+def test_sample_with_many_cells(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"w{i} x", f"s{i % 7}", "en") for i in range(300)], "doc_id long, text string, source string, lang string")
+    want = sorted(map(tuple, mixing.sample(df).collect()))
+    monkeypatch.setattr(mixing, "MOST_CELLS", 3)
+    assert want and sorted(map(tuple, mixing.sample(df).collect())) == want
+
+
+def test_bitmap(spark, monkeypatch):
+    df = spark.createDataFrame([(i * 7919**4 % 2**63,) for i in range(5000)], "k long")
+    keys = np.array([r[0] for r in df.collect()])
+    for most in (1 << 20, 1 << 29):
+        monkeypatch.setattr(common, "MOST_BITS", most)
+        bits = common.bitmap(df, "k")
+        assert common.in_bitmap(bits, keys).all() and common.in_bitmap(bits, keys ^ 12345).mean() < 0.1
+    assert sorted(common.to_driver(df)[0].tolist()) == sorted(keys.tolist())
+
+
+def test_long_lists_are_split_at_any_size(spark, monkeypatch):
+    """Few frequent values are known to the executors; longer lists are split all the same."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    posted = spark.createDataFrame([(k, 0, n) for k, size in ((1, 5), (2, 300), (3, 9)) for n in range(size)], "key long, rank long, node long")
+    got = minhash.lists(posted, spark.createDataFrame([(2, 300), (3, 9)], "key long, n long")).collect()
+    met, size = set(), Counter()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["grp"], []).append(r)
+    for g in groups.values():
+        size[len(g)] += 1
+        met |= {(a["node"], b["node"]) for a in g for b in g if a["node"] < b["node"] and (a["side"] == 0 or a["side"] != b["side"])}
+    assert {(a, b) for a in range(300) for b in range(a + 1, 300)} <= met and max(size) < 50
+
+
+def test_near_duplicates_when_few_values_are_known_as_frequent(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "RARE", 4)
+    monkeypatch.setattr(minhash, "MAX_FREQUENT", 600)
+    base, rows = prose(9, 150).split(), []
+    for i in range(120):
+        r, w = random.Random(i), list(base)
+        for _ in range(i % 12):
+            w[r.randrange(len(w))] = f"z{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows, 3, 85)
