@@ -20,6 +20,7 @@ WS = np.zeros(256, dtype=bool)
 WS[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
+_OTHER = 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
 
 
@@ -40,17 +41,24 @@ def _byte_values(lower: bool) -> np.ndarray:
     return t
 
 
-_powers: dict[int, np.ndarray] = {}
+#: Powers of either multiplier are kept up to this many.
+_KEPT = 1 << 20
+_powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """_MULT**i (or its inverse's) modulo 2**64 for i < n."""
-    have = _powers.get(inverse)
-    if have is None or len(have) < n:
-        base = pow(_MULT, -1, 1 << 64) if inverse else _MULT
-        out = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+def powers(n: int, inverse: bool = False, base: int = _MULT) -> np.ndarray:
+    """base**i (or its inverse's) modulo 2**64 for i < n."""
+
+    def table(size):
+        out = np.full(size, pow(base, -1, 1 << 64) if inverse else base, dtype=np.uint64)
         out[0] = 1
-        have = _powers[inverse] = np.multiply.accumulate(out)
+        return np.multiply.accumulate(out)
+
+    if n > _KEPT:
+        return table(n)
+    have = _powers.get((base, inverse))
+    if have is None:
+        have = _powers[base, inverse] = table(_KEPT)
     return have[:n]
 
 
@@ -81,26 +89,23 @@ def chunks(col: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndar
 
 
 def _slices(buf: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
-    """Parts of a buffer cut after white space."""
+    """Parts of a buffer of at most 2 * size bytes, cut after white space where there is some."""
     at, n = 0, len(buf)
-    while n - at > 2 * size:
-        end = at + size
-        while end < n:
-            hit = np.flatnonzero(WS[buf[end : end + 4096]])
+    while at < n:
+        end = min(n, at + size)
+        if end < n:
+            hit = np.flatnonzero(WS[buf[end : end + size]])
             if len(hit):
                 end += int(hit[0]) + 1
-                break
-            end += 4096
-        yield at, min(end, n)
-        at = min(end, n)
-    if at < n:
-        yield at, n
+        yield at, end
+        at = end
 
 
 def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False, hashes: bool = True):
     """(document, start, end, hash) of every word, in order; offsets in bytes of `buf`."""
-    docs, starts, ends, hs = [], [], [], []
+    starts, ends, hs = [], [], []
     table = _byte_values(lower)
+    held = None  # start and sum of a word that goes on in the next slice
     for lo, hi in _slices(buf, CHUNK):
         part = buf[lo:hi]
         word = ~WS[part]
@@ -111,12 +116,21 @@ def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False, hashes: bool =
         first[cut] |= word[cut]
         last[cut - 1] |= word[cut - 1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
+        h = np.zeros(len(s), dtype=np.uint64)
         if hashes:
             sums = np.zeros(len(part) + 1, dtype=np.uint64)
             np.cumsum(table[part] * powers(len(part)), out=sums[1:])
-            hs.append(mix((sums[e] - sums[s]) * powers(len(part), True)[s]))
-        starts.append(s + lo)
-        ends.append(e + lo)
+            h = (sums[e] - sums[s]) * powers(len(part), True)[s]
+        s, e = s + lo, e + lo
+        if held is not None:  # the first word of this slice is the rest of it
+            h[:1] = h[:1] * _U(pow(_MULT, lo - held[0], 1 << 64)) + held[1]
+            s[0], held = held[0], None
+        if hi < len(buf) and word[-1] and not WS[buf[hi]] and offs[np.searchsorted(offs, hi)] != hi:
+            held = int(s[-1]), h[-1:].copy()
+            s, e, h = s[:-1], e[:-1], h[:-1]
+        starts.append(s)
+        ends.append(e)
+        hs.append(mix(h))
     s = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     e = np.concatenate(ends) if ends else np.zeros(0, np.int64)
     h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
@@ -134,6 +148,15 @@ def windows(doc: np.ndarray, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
     return at, mix((sums[at + k] - sums[at]) * powers(n, True)[at] + _U(k))
 
 
+def more_bits(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """32 more bits of the windows at `at`: a second Rabin-Karp hash, of other word values
+    and another multiplier."""
+    n = len(h)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(mix(h + _U(_OTHER)) * powers(n, base=_OTHER), out=sums[1:])
+    return (mix((sums[at + k] - sums[at]) * powers(n, True, _OTHER)[at]) >> _U(32)).astype(np.uint32)
+
+
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int, lower: bool = True) -> list[np.ndarray]:
     """Per document the sorted distinct hashes of its k-word shingles; a document with
     fewer words has one, of its whole sequence; one without words has none."""

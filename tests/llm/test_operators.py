@@ -553,3 +553,26 @@ def test_near_duplicates_when_few_values_are_known_as_frequent(spark, monkeypatc
         rows.append((i, " ".join(w)))
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows, 3, 85)
+
+
+@pytest.mark.parametrize("bits", [6, 64])
+def test_remove_repeated_under_colliding_hashes(docs, monkeypatch, bits):
+    """With a first hash of 6 bits nearly all windows collide; the second tells them apart."""
+    monkeypatch.setattr(substrings, "HASH_BITS", bits)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 10_000)
+    got = substrings.remove_repeated(docs, window=35, digest=True).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_removed([(r[0], r[1]) for r in documents()], 35)
+
+
+def test_very_long_words():
+    import pyarrow as pa
+
+    long = "x" * 3_000_000
+    texts = [f"a {long} b", long, "a" + long, long[:-1] + "y", "tail " + long + "é end"]
+    seen = {}
+    for _, _, buf, offs in tokens.chunks(pa.array(texts)):
+        doc, s, e, h = tokens.words(buf, offs)
+        for a, b, v in zip(s, e, h, strict=True):
+            assert seen.setdefault(bytes(buf[a:b]), int(v)) == int(v)
+        assert np.diff(doc).min(initial=0) >= 0
+    assert set(seen) == {w.encode() for t in texts for w in t.split()} and len(set(seen.values())) == len(seen)
