@@ -1,10 +1,13 @@
 """Main text of web pages by tree scoring.
 
-A page is read into a tree that forgives unclosed and stray tags. Paragraphs pass points
-for length and commas to their ancestors, halved from the grandparent on; a container's
-sum is discounted by its link density. The best container is kept with those siblings
-that score close to it, or read like its paragraphs. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, hidden parts and reader comments never count.
+A page is read into a tree that forgives unclosed and stray tags. Blocks pass points for
+length and commas to their parents, half of them to the grandparent, and so on; a
+container's sum is discounted by its link density, and weighs more for an article or main.
+The best container is kept, and those siblings, its own and its ancestors', that score
+close to it or read like text. Elements that say what they are (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, hidden parts and reader comments) never count;
+a name alone says so only where the element does not hold the article or most points.
+Every step is one pass over the nodes, whatever their depth.
 """
 
 from __future__ import annotations
@@ -22,9 +25,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
+    "head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_SKIP = frozenset("nav footer aside form fieldset menu select option button dialog head title textarea script style noscript template iframe svg math canvas audio video object embed applet xmp noembed noframes label".split())
+_SKIP = frozenset("nav footer aside form fieldset menu select option button dialog head title textarea script style noscript template iframe svg canvas audio video object embed applet xmp noembed noframes".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 _NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted banner cookie cookies consent gdpr notice notices notification alert popup modal overlay "
@@ -42,12 +45,22 @@ _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.IGNORECASE) for name in
 
 
 class _Node:
-    __slots__ = ("chars", "kids", "links", "named", "parent", "score", "skip", "tag", "within")
+    __slots__ = ("block", "chars", "holds", "kept", "kids", "links", "named", "parent", "points", "score", "skip", "tag", "within")
 
     def __init__(self, tag, parent, skip, within, named=False):
         self.tag, self.parent, self.skip, self.within, self.named = tag, parent, skip, within, named
+        self.block = self if parent is None or tag in _BLOCK else parent.block
         self.kids: list = []
-        self.score, self.chars, self.links = 0.0, 0, 0
+        self.score, self.points, self.chars, self.links, self.holds, self.kept = 0.0, 0.0, 0, 0, False, False
+
+    @property
+    def density(self) -> float:
+        return self.links / self.chars if self.chars else 1.0
+
+    @property
+    def worth(self) -> float:
+        strong = self.chars and self.tag in ("article", "main")
+        return (self.score * (3 if strong else 1) + (10 if strong else 0)) * (1 - self.density)
 
 
 def _skipped(tag: str, attrs: str, within: bool) -> bool | None:
@@ -68,25 +81,17 @@ def _skipped(tag: str, attrs: str, within: bool) -> bool | None:
 
 
 def _tree(page: str):
-    """(root, blocks): blocks are (node, text, characters in links) in page order."""
+    """(nodes, blocks), both in page order: a block is (node, its pieces), a piece (node,
+    text, whether in a link)."""
     root = _Node("", None, False, False)
-    stack, open_tags = [root], {}
-    blocks: list[tuple[_Node, str, int]] = []
-    run: list[str] = []
-    links = 0
+    nodes, stack, open_tags = [root], [root], {}
+    blocks: list[tuple[_Node, list]] = []
+    run: list[tuple[_Node, str, bool]] = []
 
     def flush():
-        nonlocal links
         if run:
-            text = " ".join("".join(run).split())
+            blocks.append((stack[-1].block, run.copy()))
             run.clear()
-            if text:
-                node = stack[-1]
-                while node.tag and node.tag not in _BLOCK:
-                    node = node.parent
-                if not stack[-1].skip:
-                    blocks.append((node, text, min(links, len(text))))
-        links = 0
 
     def pop():
         node = stack.pop()
@@ -94,11 +99,8 @@ def _tree(page: str):
         return node.tag
 
     def add(text):
-        nonlocal links
-        text = entities.unescape(text)
-        run.append(text)
-        if open_tags.get("a"):
-            links += len(" ".join(text.split()))
+        if not stack[-1].skip:
+            run.append((stack[-1], entities.unescape(text), bool(open_tags.get("a"))))
 
     at, n = 0, len(page)
     while at < n:
@@ -119,10 +121,10 @@ def _tree(page: str):
             end = page.find(">", m.end())
             at = n if end < 0 else end + 1
             tag = m[0].lower()
-            if tag in _BLOCK or tag in _SKIP:
+            if tag in _BLOCK:
                 flush()
             if tag == "br":
-                run.append(" ")
+                add(" ")
             if open_tags.get(tag):
                 if tag == "a" or tag not in _BLOCK:
                     # an inline end doesn't close blocks that opened inside
@@ -150,9 +152,9 @@ def _tree(page: str):
             attrs = page[m.end() : end - 1]
             at = end
             if tag == "br":
-                run.append(" ")
+                add(" ")
                 continue
-            if tag in _BLOCK or tag in _SKIP:
+            if tag in _BLOCK:
                 flush()
             if tag in _VOID:
                 continue
@@ -181,96 +183,97 @@ def _tree(page: str):
             skip = _skipped(tag, attrs, parent.within)
             node = _Node(tag, parent, parent.skip or bool(skip), within, skip is None)
             parent.kids.append(node)
+            nodes.append(node)
             stack.append(node)
             open_tags[tag] = open_tags.get(tag, 0) + 1
         else:
             add("<")
             at += 1
     flush()
-    return root, blocks
-
-
-def _points(node: _Node, text: str) -> float:
-    return 0.0 if len(text) < 25 else (1 + text.count(",") + min(len(text) / 100, 3)) * (0.2 if node.tag in _HEADINGS else 1)
-
-
-def _without_named(root: _Node, blocks):
-    """The blocks outside elements that are skipped for their name: such an element is
-    kept if it holds an article or main with text, or most of the page's points."""
-    points: dict[int, float] = {}
-    whole: set[int] = set()
+    return nodes, blocks
+
+
+def _read(pieces) -> tuple[str, int]:
+    """The text of a block's pieces that are not skipped, and its characters in links."""
+    text = " ".join("".join(t for x, t, _ in pieces if not x.skip).split())
+    return text, min(len(text), sum(len(" ".join(t.split())) for x, t, a in pieces if a and not x.skip))
+
+
+def points(tag: str, text: str) -> float:
+    """What a block is worth to its parent."""
+    n = len(text)
+    return min(1.0, n / 25) * (1 + text.count(",") + min(n / 100, 3)) * (0.2 if tag in _HEADINGS else 1)
+
+
+def _measure(nodes, blocks) -> list[tuple[_Node, str]]:
+    """Points, characters and link characters of every node, and the blocks with text."""
+    for x in nodes:
+        x.score, x.points, x.chars, x.links = 0.0, 0.0, 0, 0
+    out = []
+    for node, pieces in blocks:
+        text, links = _read(pieces)
+        if text:
+            out.append((node, text))
+            node.points += points(node.tag, text) * (1 - links / len(text))
+            node.chars += len(text)
+            node.links += links
+    for x in reversed(nodes):
+        up = x.parent
+        if up is not None:
+            up.score += x.points + x.score / 2
+            up.chars += x.chars
+            up.links += x.links
+    return out
+
+
+def _skip_named(nodes, blocks) -> None:
+    """Skips elements for their name, unless they hold an article or main with text, or
+    more than half of the page's points."""
     total = 0.0
-    for node, text, links in blocks:
-        worth = _points(node, text) * (1 - links / len(text))
-        total += worth
-        x, inside = node, False
-        while x is not None:
-            if x is not node:  # as in the scoring, text gives points to what is around it
-                points[id(x)] = points.get(id(x), 0.0) + worth
-            if inside:
-                whole.add(id(x))
-            inside = inside or x.tag in ("article", "main")
-            x = x.parent
-    todo = [root]
-    while todo:  # parents first
-        x = todo.pop()
-        if x.named and id(x) not in whole and points.get(id(x), 0.0) <= total / 2:
-            x.skip = True
-        for kid in x.kids:
-            kid.skip = kid.skip or x.skip
-            todo.append(kid)
-    return [b for b in blocks if not b[0].skip]
+    around: dict[int, float] = {}  # points of the blocks below a node
+    _measure(nodes, blocks)
+    for x in reversed(nodes):
+        up = x.parent
+        total += x.points
+        if up is not None:
+            around[id(up)] = around.get(id(up), 0.0) + x.points + around.get(id(x), 0.0)
+            up.holds = up.holds or x.holds or bool(x.chars and x.tag in ("article", "main"))
+    for x in nodes:  # parents first
+        x.skip = x.skip or (x.parent is not None and x.parent.skip) or (x.named and not x.holds and around.get(id(x), 0.0) <= total / 2)
 
 
 def main_text(page: str | None) -> str:
     """The page's article: its blocks in page order, joined by an empty line."""
     if not page:
         return ""
-    root, blocks = _tree(page)
-    blocks = _without_named(root, blocks)
-    best = None
-    seen: dict[int, _Node] = {}
-    for node, text, links in blocks:
-        x, level = node, 0
-        points = _points(node, text)
-        while x is not None:
-            x.chars += len(text)
-            x.links += links
-            if level and points:
-                x.score += points / (1 if level == 1 else 2 * (level - 1))
-            seen[id(x)] = x
-            x, level = x.parent, level + 1
-
-    def worth(x):
-        bonus = 10 if x.tag in ("article", "main") else 0
-        return (x.score + bonus) * (1 - x.links / x.chars if x.chars else 0)
-
-    for x in seen.values():
-        if x.tag and (best is None or worth(x) > worth(best)):
-            best = x
-    if best is None:
-        return "\n\n".join(t for _, t, _ in blocks)
-    top = best
-    while top.parent is not None and top.tag not in ("article", "main"):
-        top = top.parent
-    if top.tag in ("article", "main"):
-        best = top  # parts of one article are not told apart
-    keep = {id(best)}
-    if best.parent is not None and best.tag not in ("body", "html"):
-        least = max(10.0, 0.2 * worth(best))
-        for x in best.parent.kids:
-            dense = x.links / x.chars if x.chars else 1.0
-            if x is not best and not x.skip and (worth(x) >= least or (x.tag in _HEADINGS and x.chars) or (x.tag == "p" and x.chars > 80 and dense < 0.25)):
-                keep.add(id(x))
-
-    def kept(node):
-        while node is not None:
-            if id(node) in keep:
-                return True
-            node = node.parent
-        return False
-
-    return "\n\n".join(t for node, t, _ in blocks if kept(node))
+    nodes, blocks = _tree(page)
+    if any(x.named for x in nodes):
+        _skip_named(nodes, blocks)
+    read = _measure(nodes, blocks)
+    best = max((x for x in nodes if x.chars), key=lambda x: x.worth, default=nodes[0])
+    while best.tag in ("", "html") and (inner := next((x for x in best.kids if x.tag in ("html", "body") and x.chars == best.chars), None)):
+        best = inner
+    if best.tag in ("", "html", "body"):  # nothing is around it: what is mostly links goes
+        for x in best.kids:
+            x.kept = x.density <= 0.5 or x.tag in _HEADINGS
+        own = best
+    else:
+        best.kept, own = True, None
+    least, x = max(10.0, 0.2 * best.worth), best
+    while x.parent is not None:
+        near = x is best or x.parent.within or x.parent.tag in ("article", "main")
+        for s in x.parent.kids:
+            if s is not x and s.chars and (s.worth >= least or (near and (s.density < 0.25 or s.tag in _HEADINGS))):
+                s.kept = True
+        x = x.parent
+    for x in nodes:
+        x.kept = x.kept or (x.parent is not None and x.parent.kept)
+    above = set()  # text straight inside an ancestor that is part of the article
+    x = best.parent
+    while x is not None and (x is best.parent or x.within or x.tag in ("article", "main")) and x.tag not in ("", "html", "body"):
+        above.add(id(x))
+        x = x.parent
+    return "\n\n".join(t for node, t in read if node.kept or node is own or id(node) in above)
 
 
 def _extracted(batches):
