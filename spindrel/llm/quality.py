@@ -3,8 +3,9 @@
 Every line with a word is labelled content or boilerplate by Viterbi decoding; the share
 of words in content lines decides, after the plain limits on length and repetition. The
 field is fitted in numpy on a bounded sample of labelled documents (the `sample` with the
-least hashes of doc_id): a logistic fit with document labels first, whose line labels the
-field then learns with its transitions by maximum likelihood.
+least hashes of doc_id; their whole texts in stretches of `stretch` lines, of which the
+`stretches` with the least hashes serve): a logistic fit with document labels first, whose
+line labels the field then learns with its transitions by maximum likelihood.
 """
 
 from __future__ import annotations
@@ -123,35 +124,40 @@ def fit(sequences: list[tuple[np.ndarray, int]], steps: int = 150) -> tuple[np.n
     good = y.mean()
     w = _logistic(x, y, np.where(y == 1, 0.5 / good, 0.5 / (1 - good)), PRIOR)
     # lines as the logistic fit sees them, but none of content in a bad document without doubt
-    size = max(len(s) for s, _ in sequences)
-    feats = np.zeros((len(sequences), size, x.shape[1]))
-    live = np.zeros((len(sequences), size), dtype=bool)
-    label = np.zeros((len(sequences), size), dtype=np.int64)
-    for i, (s, q) in enumerate(sequences):
-        feats[i, : len(s)] = s
-        live[i, : len(s)] = True
-        label[i, : len(s)] = s @ w > (0 if q else 1)
+    label = np.concatenate([s @ w > (0 if q else 1) for s, q in sequences])
+    # by place and, in it, longest sequence first: the rows of a place are the first of the place before
+    size = np.array([len(s) for s, _ in sequences])
+    rank = np.empty(len(size), dtype=np.int64)
+    rank[np.argsort(-size, kind="stable")] = np.arange(len(size))
+    place = np.concatenate([np.arange(n) for n in size])
+    order = np.lexsort((np.repeat(rank, size), place))
+    x, label, row = x[order], label[order].astype(np.int64), np.repeat(rank, size)[order]
+    begin = np.searchsorted(place[order], np.arange(size.max() + 1))
+    later = np.arange(begin[1], len(x))
+    earlier = begin[place[order][later] - 1] + row[later]
+    n, seen = len(x), np.zeros((2, 2))
+    np.add.at(seen, (label[earlier], label[later]), 1)
     trans = np.zeros((2, 2))
-    n = live.sum()
-    pair_live = live[:, 1:] & live[:, :-1]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (label[:, :-1][pair_live], label[:, 1:][pair_live]), 1)
     for _ in range(steps):
-        unary = np.stack([np.zeros(feats.shape[:2]), feats @ w], axis=2)
-        alpha, beta = np.zeros_like(unary), np.zeros_like(unary)
-        alpha[:, 0] = unary[:, 0]
-        for t in range(1, size):
-            a = alpha[:, t - 1, :, None] + trans[None]
-            alpha[:, t] = np.where(live[:, t, None], np.logaddexp(a[:, 0], a[:, 1]) + unary[:, t], alpha[:, t - 1])
-        for t in range(size - 2, -1, -1):
-            b = trans[None] + (unary[:, t + 1] + beta[:, t + 1])[:, None, :]
-            beta[:, t] = np.where(live[:, t + 1, None], np.logaddexp(b[:, :, 0], b[:, :, 1]), 0)
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None]) * live
-        both = np.exp(alpha[:, :-1, :, None] + trans + (unary[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
-        expected = (both * pair_live[:, :, None, None]).sum((0, 1))
-        w = w + 0.5 * (((label * live - p)[:, :, None] * feats).sum((0, 1)) / n - 1e-3 * (w - PRIOR))
-        trans = trans + 0.5 * ((seen - expected) / n - 1e-3 * trans)
+        unary = x @ w
+        alpha, beta = np.zeros((n, 2)), np.zeros((n, 2))
+        alpha[: begin[1], 1] = unary[: begin[1]]
+        for t in range(1, len(begin) - 1):
+            b, e = begin[t], begin[t + 1]
+            last = alpha[begin[t - 1] : begin[t - 1] + e - b]
+            alpha[b:e] = np.logaddexp(last[:, :1] + trans[0], last[:, 1:] + trans[1])
+            alpha[b:e, 1] += unary[b:e]
+        for t in range(len(begin) - 2, 0, -1):
+            b, e = begin[t], begin[t + 1]
+            after = beta[b:e].copy()
+            after[:, 1] += unary[b:e]
+            beta[begin[t - 1] : begin[t - 1] + e - b] = np.logaddexp(after[:, :1] + trans[:, 0], after[:, 1:] + trans[:, 1])
+        z = np.logaddexp(beta[: begin[1], 0], unary[: begin[1]] + beta[: begin[1], 1])
+        p = np.exp(alpha[:, 1] + beta[:, 1] - z[row])
+        after = beta[later] + np.stack([np.zeros(len(later)), unary[later]], 1)
+        both = np.exp(alpha[earlier][:, :, None] + trans + after[:, None, :] - z[row[later]][:, None, None])
+        w = w + 0.5 * ((label - p) @ x / n - 1e-3 * (w - PRIOR))
+        trans = trans + 0.5 * ((seen - both.sum(0)) / n - 1e-3 * trans)
     return w, trans
 
 
@@ -173,26 +179,32 @@ def viterbi(scores: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return out
 
 
-def _line_features(lines: int):
+def _line_features(stretch: int):
     def run(batches):
         for batch in batches:
             for lo, _, buf, offs in chunks(batch["text"]):
                 m = Measured(buf, offs)
-                begin = np.searchsorted(m.line_doc, np.arange(len(offs)))
-                own = [m.features[a : min(b, a + lines)] for a, b in zip(begin[:-1], begin[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch["quality"].slice(lo, len(own)), pa.array([x.tobytes() for x in own], pa.binary())], ["quality", "features"])
+                begin = np.searchsorted(m.line_doc, np.arange(len(offs))).tolist()
+                at = [(i, k, m.features[k : min(b, k + stretch)]) for i, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True)) for k in range(a, b, stretch)]
+                rows = pa.array([lo + i for i, _, _ in at], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(rows), pa.array([k - begin[i] for i, k, _ in at], pa.int64()), batch["quality"].take(rows), pa.array([x.tobytes() for _, _, x in at], pa.binary())],
+                    ["doc_id", "line", "quality", "features"],
+                )
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame | None, *, sample: int = 2000, lines: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """The field fitted on at most `sample` labelled documents, at most `lines` lines each."""
+def train(docs: DataFrame, labels: DataFrame | None, *, sample: int = 2000, stretch: int = 200, stretches: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    """The field fitted on the whole texts of at most `sample` labelled documents, cut into
+    stretches of `stretch` lines; at most `stretches` of them, drawn by hash from all."""
     if labels is None:
         return fit([])
     some = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.join(F.broadcast(some), "doc_id").select(F.col("quality").cast("int").alias("quality"), "text")
-    rows = texts.mapInArrow(_line_features(lines), "quality int, features binary").collect()
+    texts = docs.join(F.broadcast(some), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("text").cast("string").alias("text"))
+    rows = texts.mapInArrow(_line_features(stretch), "doc_id long, line long, quality int, features binary")
+    rows = rows.orderBy(F.xxhash64("doc_id", "line"), "features", "quality").limit(stretches).collect()
     data = sorted(((bytes(r["features"]), int(r["quality"])) for r in rows), key=lambda r: (r[1], r[0]))
     return fit([(np.frombuffer(f).reshape(-1, len(FEATURES)), q) for f, q in data])
 
@@ -255,7 +267,10 @@ def _good_rows(w: np.ndarray, trans: np.ndarray, least_words: int, most_repeated
 
 
 def keep_good(docs: DataFrame, labels: DataFrame | None = None, *, least_words: int = 50, most_repeated: int = 50, share: float = 0.5, **sample) -> DataFrame:
-    """The rows of `docs` that judge() keeps, with all their columns."""
+    """The rows of `docs` that judge() keeps, with all their columns, whatever their names.
+
+    Null and empty texts go; repeated rows stay or go together; a null doc_id stays null. An
+    empty table gives an empty result."""
     prepare(docs.sparkSession)
-    w, trans = train(docs.select("doc_id", "text"), labels, **sample)
+    w, trans = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, **sample)
     return docs.mapInArrow(_good_rows(w, trans, least_words, most_repeated, share), docs.schema)

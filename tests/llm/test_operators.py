@@ -185,6 +185,42 @@ def test_viterbi_is_the_best_path():
         assert tuple(quality.viterbi(scores, trans).astype(int)) == best
 
 
+def test_field_is_fitted_on_whole_texts(spark):
+    """Bad documents differ from good ones beyond line 200 only."""
+    same = "\n".join("The quick words run here and there." for _ in range(250))
+    rows = [(i, same + "\n" + "\n".join(("### " if i % 2 else "a sentence with words. ") + prose(i * 100 + k, 9) for k in range(300))) for i in range(20)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1 - i % 2) for i in range(20)], "doc_id long, quality int")
+    w, trans = quality.train(docs, labels)
+    assert w[quality.FEATURES.index("symbols")] < quality.PRIOR[quality.FEATURES.index("symbols")] - 0.05
+    again = quality.train(docs.repartition(5), labels)
+    assert np.allclose(w, again[0]) and np.allclose(trans, again[1])
+
+
+def test_marginals_of_the_field_by_enumeration(monkeypatch):
+    """One step of the fit against sums over all labellings."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    data = [(np.abs(rng.normal(size=(n, len(quality.FEATURES)))), q) for n, q in ((3, 1), (1, 0), (5, 0), (2, 1))]
+    w0 = rng.normal(size=len(quality.FEATURES))
+    monkeypatch.setattr(quality, "_logistic", lambda *a, **k: w0)
+    w, trans = quality.fit(data, steps=1)
+    grad, pairs, n = np.zeros_like(w0), np.zeros((2, 2)), 0
+    for x, q in data:
+        y = x @ w0 > (0 if q else 1)
+        paths = list(itertools.product((0, 1), repeat=len(x)))
+        weight = np.exp([sum(s for s, k in zip(x @ w0, path, strict=True) if k) for path in paths])
+        weight /= weight.sum()
+        grad += (y - np.array(paths).T @ weight) @ x
+        for path, p in zip(paths, weight, strict=True):
+            for a, b in itertools.pairwise(path):
+                pairs[a, b] -= p
+        for a, b in itertools.pairwise(y.astype(int)):
+            pairs[a, b] += 1
+        n += len(x)
+    assert np.allclose(w, w0 + 0.5 * (grad / n - 1e-3 * (w0 - quality.PRIOR))) and np.allclose(trans, 0.5 * pairs / n)
+
+
 def test_quality_empty(empty):
     assert quality.judge(empty, None).count() == 0
 
