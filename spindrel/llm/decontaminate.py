@@ -2,7 +2,8 @@
 
 A first pass counts over all documents in how many each n-gram of the test items stands.
 An item's seeds are its n-grams that few documents hold, and in any case those held by at
-most twice as many as its median one, so that an item that leaked everywhere keeps seeds. A second pass joins seeds to
+most twice as many as its median one, so that an item that leaked everywhere keeps seeds.
+An item of fewer than n words is its own seed, if it is rare. A second pass joins seeds to
 passages and aligns each item with the words around its seeds; the score is the local
 alignment's share of a perfect one. Both passes are map-side: only the items travel, in
 blocks of at most BLOCK_SEEDS n-grams, one pair of passes for each block.
@@ -32,24 +33,31 @@ class Items:
         doc, _, _, h = words(raw, offs, lower=True)
         self.ids, self.n = ids, n
         self.words = [h[a:b] for a, b in zip(*(np.searchsorted(doc, np.arange(len(ids)) + k) for k in (0, 1)), strict=True)]
-        at, wh = windows(doc, h, n)
+        size = np.array([len(w) for w in self.words], dtype=np.int64)
+        found = [(k, *windows(doc, h, k)) for k in range(1, n + 1)]
+        found = [(at[use], wh[use]) for k, at, wh in found for use in ((size[doc[at]] == k) if k < n else np.ones(len(at), bool),)]
+        at, wh = (np.concatenate(x) for x in zip(*found, strict=True))
         begin = np.searchsorted(doc, np.arange(len(ids)))
         order = np.lexsort((at, doc[at], wh)) if len(at) else at
         self.hash, self.item, self.place = wh[order], doc[at][order], (at - begin[doc[at]])[order]
         self.grams = np.unique(self.hash)
+        self.short = size < n
         self._index()
 
     def _index(self):
+        size = np.array([len(w) for w in self.words], dtype=np.int64)[self.item]
+        self.sizes = np.unique(np.minimum(size, self.n)).tolist()
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[(self.grams >> np.uint64(48)).astype(np.int64)] = True
 
     def rare(self, df: np.ndarray, total: int, per_mille: float) -> None:
         """Keeps seeds only; df: documents of each of `grams`."""
         n = df[np.searchsorted(self.grams, self.hash)]
+        order = np.lexsort((n, self.item))
+        own, first, count = np.unique(self.item[order], return_index=True, return_counts=True)
         half = np.zeros(len(self.ids), dtype=np.int64)
-        for i in np.unique(self.item).tolist():
-            own = np.sort(n[self.item == i])
-            half[i] = own[(len(own) - 1) // 2]
+        half[own] = n[order][first + (count - 1) // 2]
+        half[self.short] = 0
         keep = (1000 * n <= per_mille * total) | (n <= ALWAYS_RARE) | (n <= 2 * half[self.item])
         self.hash, self.item, self.place = self.hash[keep], self.item[keep], self.place[keep]
         self.grams = np.unique(self.hash)
@@ -57,14 +65,16 @@ class Items:
 
     def hits(self, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first word, number in grams) of each n-gram of the text that is one of ours."""
-        at, wh = windows(doc, h, self.n)
-        ok = self.maybe[(wh >> np.uint64(48)).astype(np.int64)]
-        at, wh = at[ok], wh[ok]
-        if not len(self.grams) or not len(at):
-            return at[:0], at[:0]
-        g = np.minimum(np.searchsorted(self.grams, wh), len(self.grams) - 1)
-        ok = self.grams[g] == wh
-        return at[ok], g[ok]
+        firsts, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in self.sizes:
+            at, wh = windows(doc, h, k)
+            ok = self.maybe[(wh >> np.uint64(48)).astype(np.int64)]
+            at, wh = at[ok], wh[ok]
+            g = np.minimum(np.searchsorted(self.grams, wh), len(self.grams) - 1)
+            ok = self.grams[g] == wh
+            firsts.append(at[ok])
+            numbers.append(g[ok])
+        return np.concatenate(firsts), np.concatenate(numbers)
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -82,7 +92,7 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _aligned(items: Items, doc: np.ndarray, h: np.ndarray, least: float):
+def _aligned(items: Items, doc: np.ndarray, h: np.ndarray, least: float, enough: int):
     """(document, item, score, end word, seeds) of every item found in every document."""
     at, g = items.hits(doc, h)
     if not len(at):
@@ -115,7 +125,7 @@ def _aligned(items: Items, doc: np.ndarray, h: np.ndarray, least: float):
             score, to = smith_waterman(items.words[i], h[lo_:hi_])
             if score > best:
                 best, where = score, lo_ + to - begin
-        if best >= least * MATCH * size:
+        if best >= MATCH * min(least * size, enough):
             yield x, i, best / (MATCH * size), where, b - a
 
 
@@ -135,13 +145,13 @@ def _counted(shared):
     return run
 
 
-def _matches(shared, least: float):
+def _matches(shared, least: float, enough: int):
     def run(batches):
         items = shared.value
         for batch in batches:
             for lo, _, buf, offs in chunks(batch["text"]):
                 doc, _, _, h = words(buf, offs, lower=True)
-                found = list(_aligned(items, doc, h, least))
+                found = list(_aligned(items, doc, h, least, enough))
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -155,14 +165,14 @@ def _matches(shared, least: float):
     return run
 
 
-def _clean(shared, least: float):
+def _clean(shared, least: float, enough: int):
     def run(batches):
         items = shared.value
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             for lo, _, buf, offs in chunks(batch["text"]):
                 doc, _, _, h = words(buf, offs, lower=True)
-                for f in _aligned(items, doc, h, least):
+                for f in _aligned(items, doc, h, least, enough):
                     keep[lo + f[0]] = False
             yield batch.filter(pa.array(keep))
 
@@ -189,26 +199,31 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, n: int, per_mille: float):
         yield spark.sparkContext.broadcast(block)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, per_mille: float = 1.0, least: float = 0.5) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, per_mille: float = 1.0, least: float = 0.5, enough: int = 50) -> DataFrame:
     """(doc_id, item_id, score, end_word, n_seeds): each item of `benchmark` (item_id, text)
-    that stands in a row of `docs` (doc_id, text), whole or edited, with at least `least`
-    of a perfect alignment score. Words are lower-cased (A-Z) runs outside ASCII white space.
-
-    Null and empty texts match nothing, nor do items of fewer than n words. Repeated rows
-    give repeated results; items with equal text give a row each. Null ids stay null. Other
-    columns are ignored; an empty table on either side gives an empty result."""
+    that stands in a row of `docs` (doc_id, text), whole or edited: its alignment has at
+    least `least` of a perfect score, or of the score of `enough` words in a row where the
+    item is so long that this is less. Words are lower-cased (A-Z) runs outside ASCII white
+    space.
+
+    Null and empty texts match nothing. An item of fewer than n words is found only if at
+    most `per_mille` of the documents (or ALWAYS_RARE) hold it. Repeated rows give repeated
+    results; items with equal text give a row each. Null ids stay null. Other columns are
+    ignored; an empty table on either side gives an empty result."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, score double, end_word long, n_seeds long"
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in _blocks(docs, benchmark, n, per_mille):
-        out = out.unionAll(docs.mapInArrow(_matches(shared, least), schema))
+        out = out.unionAll(docs.mapInArrow(_matches(shared, least, enough), schema))
     return out
 
 
-def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, per_mille: float = 1.0, least: float = 0.5) -> DataFrame:
-    """`docs` without the rows in which find_leaks() finds an item; columns stay as they are."""
+def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, per_mille: float = 1.0, least: float = 0.5, enough: int = 50) -> DataFrame:
+    """`docs` without the rows in which find_leaks() finds an item; all columns stay as they
+    are, whatever their names. Null and empty texts stay; repeated rows stay or go together;
+    with an empty table on either side nothing goes."""
     prepare(docs.sparkSession)
     for shared in _blocks(docs, benchmark, n, per_mille):
-        docs = docs.mapInArrow(_clean(shared, least), docs.schema)
+        docs = docs.mapInArrow(_clean(shared, least, enough), docs.schema)
     return docs

@@ -278,6 +278,49 @@ def test_leaks(spark, docs):
     assert decontaminate.drop_leaked(docs, none).count() == docs.count()
 
 
+def plain_alignment(a, b):
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            h[i + 1][j + 1] = max(0, h[i][j] + (2 if x == y else -1), h[i][j + 1] - 1, h[i + 1][j] - 1)
+    return max(map(max, h))
+
+
+def test_leaks_against_alignment_of_everything(spark):
+    """Every document against every item by the whole recurrence, without seeds."""
+    r = random.Random(11)
+    items = {i: prose(200 + i, r.choice([2, 5, 12, 25, 130]), 10**5).split() for i in range(25)}
+    rows = []
+    for d in range(80):
+        words = prose(300 + d, r.randrange(0, 120), 10**5).split()
+        for _ in range(r.randrange(3)):
+            x = list(items[r.randrange(25)])
+            cut = x[: r.choice([len(x), len(x), 60, len(x) // 3 + 1])]
+            for _ in range(r.randrange(1 + len(cut) // 4)):
+                k = r.randrange(len(cut))
+                cut[k : k + r.randrange(2)] = r.choice([[], ["new"], ["two", "more"]])
+            at = r.randrange(len(words) + 1)
+            words[at:at] = cut
+        rows.append((d, " ".join(words)))
+    want = set()
+    for d, t in rows:
+        w = t.split()
+        for i, x in items.items():
+            grams = {tuple(x[k : k + 3]) for k in range(max(1, len(x) - 2))}
+            seeded = any(tuple(w[k : k + len(g)]) == g for g in grams for k in range(len(w)))
+            if seeded and plain_alignment(x, w) >= 2 * min(0.5 * len(x), 50):
+                want.add((d, i))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == want and len(want) > 40 and any(len(items[i]) == 2 for _, i in want) and any(len(items[i]) == 130 for _, i in want)
+
+
+def test_common_words_are_no_leak(spark):
+    rows = [(i, "yes we can " + prose(i, 30)) for i in range(100)]
+    bench = spark.createDataFrame([(1, "yes"), (2, "we can")], "item_id long, text string")
+    assert decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).count() == 0
+
+
 def test_smith_waterman_against_plain_recurrence():
     rng = np.random.default_rng(5)
     for _ in range(20):
