@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,14 +20,27 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKC")
+@F.arrow_udf(T.StringType())
+def _nfkc(s: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(s, form="NFKC")
 
 
-@F.pandas_udf(T.StringType())
-def nfkd(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKD")
+@F.arrow_udf(T.StringType())
+def _nfkd(s: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(s, form="NFKD")
+
+
+def _normal(c: Column, udf) -> Column:
+    """Texts of ASCII only, which are most, have one form and never leave the JVM's side."""
+    return F.coalesce(udf(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+
+
+def nfkc(c: Column) -> Column:
+    return _normal(c, _nfkc)
+
+
+def nfkd(c: Column) -> Column:
+    return _normal(c, _nfkd)
 
 
 def _tidy(s: Column) -> Column:
@@ -104,8 +118,8 @@ def mapped(c: Column, table: dict[str, str], default: Column) -> Column:
     return F.coalesce(F.try_element_at(pairs, c), default)
 
 
-def category(c: Column) -> Column:
-    s = clean_text(c)
+def category(c: Column, cleaned: bool = False) -> Column:
+    s = c if cleaned else clean_text(c)
     return mapped(F.coalesce(F.lower(s), F.lit("")), dims.CATEGORIES, s)
 
 
@@ -113,9 +127,9 @@ def role(slot: Column) -> Column:
     return mapped(F.lower(F.trim(F.coalesce(slot, F.lit("")))), dims.ROLES, F.lit("unknown"))
 
 
-def is_drop_row(component: Column) -> Column:
+def is_drop_row(component: Column, cleaned: bool = False) -> Column:
     """Separators, footers and empty names."""
-    s = clean_text(component)
+    s = component if cleaned else clean_text(component)
     return s.isNull() | (F.upper(s) == "OR") | s.rlike(r"(?i)^\W*as an (amazon|aliexpress)")
 
 

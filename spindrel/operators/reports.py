@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims, text, urls
+from ..functions.similarity import ratio
 from . import aggregates, joins, linkstate, resolve
 from .resolve import Master, Rules
 
@@ -99,25 +100,43 @@ def projects_status(m: Master) -> DataFrame:
     return m.uses.select("project", "project_status").distinct()
 
 
+def _sides(m: Master) -> dict[str, DataFrame]:
+    """Both sides of a pair of items: id, name, projects in order of first sight, category."""
+    both = m.items.select("id", "name", "category", "key").join(_tabs(m).select("key", F.array_join("tabs", " ").alias("projects")), "key", "left")
+    return {s: both.select(F.col("id").alias(f"id_{s}"), F.col("name").alias(f"name_{s}"), F.col("projects").alias(f"projects_{s}"), F.col("category").alias(f"_cat_{s}")) for s in "ab"}
+
+
 def near_names(m: Master, reviewed: DataFrame | None = None) -> DataFrame:
-    """(score, id_a, name_a, id_b, name_b, same_category) of items with similar names."""
+    """(score, id_a, name_a, projects_a, id_b, name_b, projects_b, same_category) of items
+    with similar names, most similar first."""
     items = m.items.select("seq", "id", F.concat_ws(" ", text.name_key(F.col("name")), F.regexp_replace(F.coalesce("scope", F.lit("")), r"[^a-z0-9.]+", " ")).alias("key"), "base_key")
     items = items.withColumn("key", F.trim("key"))
-    side = lambda s: m.items.select(F.col("id").alias(f"id_{s}"), F.col("name").alias(f"name_{s}"), F.col("category").alias(f"_cat_{s}"))
-    out = joins.near_names(items, reviewed).join(side("a"), "id_a").join(side("b"), "id_b")
-    return out.select("score", "id_a", "name_a", "id_b", "name_b", F.col("_cat_a").eqNullSafe(F.col("_cat_b")).alias("same_category"))
+    side = _sides(m)
+    out = joins.near_names(items, reviewed).join(side["a"], "id_a").join(side["b"], "id_b").orderBy(F.desc("score"), "id_a", "id_b")
+    return out.select("score", "id_a", "name_a", "projects_a", "id_b", "name_b", "projects_b", F.when(F.col("_cat_a").eqNullSafe(F.col("_cat_b")), "yes").otherwise("").alias("same_category"))
 
 
 def shared_links(m: Master, reviewed: DataFrame | None = None) -> DataFrame:
-    """(base_a, base_b, n_urls, urls) of different components that share a link held by two
-    to four items; more on one link mean a search page."""
-    links = m.sources.select("key", "url").distinct()
-    fan = links.groupBy("url").count().where("count between 2 and 4").select("url")
-    links = links.join(fan, "url", "left_semi").join(m.items.select("key", "base_key"), "key").select("url", "base_key").distinct()
-    pairs = links.withColumnRenamed("base_key", "base_a").join(links.withColumnRenamed("base_key", "base_b"), "url").where("base_a < base_b")
+    """(name_similarity, shared_links, id_a, name_a, projects_a, id_b, name_b, projects_b,
+    urls) of different components that share a link held by two to four items; more on one
+    link mean a search page. Of items with one base key those that share the first link, in
+    the order of the published tables, stand for it. Most similar names first."""
+    at = F.struct(F.coalesce("category", F.lit("zz")).alias("c"), F.lower("name").alias("n"), F.col("seq").alias("s"))
+    items = m.items.select("key", "id", "base_key", at.alias("at"))
+    place = F.struct(*(x.alias(f"r{i}") for i, x in enumerate(_ranked())))
+    links = m.sources.groupBy("key", "url").agg(F.min(place).alias("place")).join(items, "key")
+    fan = links.groupBy("url").agg(F.count("*").alias("n"), F.min(F.struct("at", "place")).alias("first")).where("n between 2 and 4").select("url", "first")
+    links = links.join(fan, "url").select("url", "first", "key", "id", "base_key", "at")
+    a, b = (links.select("url", *(["first"] if s == "a" else []), *(F.col(c).alias(f"{c}_{s}") for c in ("key", "id", "base_key", "at"))) for s in "ab")
+    pairs = a.join(b, "url").where("at_a < at_b and base_key_a <> base_key_b")
     if reviewed is not None:
-        pairs = joins.exclude_reviewed(pairs, "base_a", "base_b", reviewed)
-    return pairs.groupBy("base_a", "base_b").agg(F.count("*").alias("n_urls"), F.array_sort(F.collect_set("url")).alias("urls"))
+        pairs = joins.exclude_reviewed(pairs, "base_key_a", "base_key_b", reviewed)
+    pairs = pairs.withColumn("x", F.least("base_key_a", "base_key_b")).withColumn("y", F.greatest("base_key_a", "base_key_b"))
+    pairs = pairs.groupBy("x", "y").agg(F.min_by(F.struct("key_a", "id_a", "key_b", "id_b"), F.struct("first", "at_a", "at_b")).alias("p"), F.array_sort(F.collect_set("url")).alias("urls"))
+    side = _sides(m)
+    out = pairs.select("p.*", "urls").withColumn("name_similarity", ratio(F.col("key_a"), F.col("key_b"))).withColumn("shared_links", F.size("urls"))
+    out = out.join(side["a"], "id_a").join(side["b"], "id_b").orderBy(F.desc("name_similarity"), F.desc("shared_links"), "id_a", "id_b")
+    return out.select("name_similarity", "shared_links", "id_a", "name_a", "projects_a", "id_b", "name_b", "projects_b", F.array_join("urls", " | ").alias("urls"))
 
 
 def unlinked(m: Master) -> DataFrame:
@@ -187,7 +206,7 @@ def headline(raw: DataFrame, m: Master, reviewed: DataFrame | None = None) -> Da
     c = conflicts(m)
     current = m.uses.where("project_status = 'current'").select("project").distinct()
     live = c.select("item_id", "role", "urls", F.explode(F.split("projects", " ")).alias("project")).join(current, "project", "left_semi")
-    disagree = live.groupBy("item_id").agg(F.count_distinct("urls").alias("n")).where("n > 1")
+    disagree = live.groupBy("item_id", "role").agg(F.count_distinct("urls").alias("n")).where("n > 1").select("item_id").distinct()
     s, vendor = m.sources, F.col("vendor_id").isin("aliexpress", "amazon")
     short = vendor & (F.col("url").contains("s.click.") | F.col("url").contains("amzn.to") | F.col("url").contains("a.aliexpress.com"))
     numbers = [
@@ -244,3 +263,62 @@ def master_links(m: Master) -> DataFrame:
     lists = ("labels", "roles", "projects", "affiliate_urls")
     out = m.sources.join(m.items.select("key", F.col("id").alias("item_id"), F.col("name").alias("item_name")), "key").orderBy("item_id", *_ranked())
     return out.select("item_id", "item_name", "url", "vendor_id", "vendor_name", "affiliate", "link_ok", "link_note", *(F.array_join(_or_empty(c), " | ").alias(c) for c in lists))
+
+
+def master_items(m: Master, tabs: list[str]) -> DataFrame:
+    """One row per item, in order: identity, counts, and a quantity per tab."""
+    links = m.sources.groupBy("key").agg(F.count("*").alias("n_links"))
+    wide = _qty(m).groupBy("key").pivot("project", tabs).agg(F.first("qty"))
+    out = resolve.in_order(m.items.join(_tabs(m), "key", "left").join(links, "key", "left").join(wide, "key", "left"))
+    return out.select(
+        "id", "category", "name", F.coalesce("scope", F.lit("")).alias("scope"), F.col("best_standard").alias("standard"), F.array_join(_or_empty("aliases"), " | ").alias("aliases"), F.size("tabs").alias("n_projects"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.array_join("tabs", " ").alias("projects"), *(F.coalesce(F.col(f"`{t}`"), F.lit("")).alias(f"qty:{t}") for t in tabs),
+    )
+
+
+def nested(m: Master) -> DataFrame:
+    """The master as one row per item, in order, with its uses, sources, guidance in words and
+    notes as arrays of structs, each in order of first sight (sources: best first)."""
+    def rows(df, columns, order, name):
+        return _gather(df, ["key"], F.struct(*columns), order, name)
+
+    seq = [F.col("seq")]
+    parts = [
+        rows(m.uses, ["project", "sheet", "rows", "qty", "choice_group"], seq, "used_by"),
+        rows(m.sources, ["url", "url_key", F.col("vendor_id").alias("vendor"), "vendor_name", "labels", "roles", "projects", "affiliate_urls", "raw_urls", "affiliate", "seen", "link_ok", "reason", "affiliate_link_ok", "link_note"], _ranked(), "sources"),
+        rows(m.unlinked, [F.col("label").alias("text"), "roles", "projects"], seq, "unlinked_sources"),
+        rows(m.notes, [F.col("note").alias("text"), "projects"], seq, "notes"),
+    ]
+    out = m.items
+    for part in parts:
+        name = part.columns[-1]
+        out = out.join(part, "key", "left").withColumn(name, _or_empty(name, part.schema[name].dataType.simpleString()))
+    return resolve.in_order(out).select("id", "name", F.col("key").alias("name_key"), "base_key", "scope", "base_product", "machining", "aliases", "category", "categories", F.col("best_standard").alias("standard"), "standards", "used_by", "sources", "unlinked_sources", "notes")
+
+
+def vendors(m: Master) -> DataFrame:
+    """(id, name, links) of all vendors, most links first, then first seen."""
+    v = m.sources.where("vendor_id is not null").groupBy(F.col("vendor_id").alias("id")).agg(F.min_by("vendor_name", "seq").alias("name"), F.count("*").alias("links"), F.min("seq").alias("_s"))
+    return v.orderBy(F.desc("links"), "_s").drop("_s")
+
+
+def tally(df: DataFrame, column: str) -> DataFrame:
+    """(column, n): how often each value stands, as verdicts, outcomes or kinds of a table."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+
+
+def report_text(raw: DataFrame, m: Master, reviewed: DataFrame | None = None) -> str:
+    """The headline numbers, components per tab and links per vendor as a page of text. Its
+    tables have a fixed number of rows, or one for each tab."""
+    lines = ["# Unified sourcing data - extraction report", "", "| metric | value |", "| --- | ---: |"]
+    lines += [f"| {r['metric']} | {r['value']} |" for r in headline(raw, m, reviewed).collect()]
+    lines += ["", "## Components per tab", "", "| tab | status | components |", "| --- | --- | ---: |"]
+    lines += [f"| {r[0]} | {r[1]} | {r[2]} |" for r in components_per_tab(m).collect()]
+    lines += ["", "## Links per vendor", "", "| vendor | links |", "| --- | ---: |"]
+    lines += [f"| {r[0]} | {r[1]} |" for r in links_per_vendor(m).collect()]
+    return "\n".join(lines) + "\n"
+
+
+def workload_top(work: DataFrame, top: int = 15) -> DataFrame:
+    """The components with most variants, which a report shows."""
+    return work.orderBy(F.desc("variants_full"), F.desc("tabs"), "name").limit(top)

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims, text, urls
 from . import aggregates, joins, linkstate, windows
+from .staging import stage
 
 RAW = (
     "seq long, sheet string, row int, category string, component string, standard string, qty string, size string, notes array<string>, "
@@ -72,12 +73,13 @@ def keyed_rows(raw: DataFrame, r: Rules) -> DataFrame:
     Choice groups are found before rows are dropped, as separators make them."""
     spark = raw.sparkSession
     # a separator row belongs to the sheet's order even if its project is unknown
-    rows = windows.or_groups(raw.withColumn("_c", text.clean_text(F.col("component"))), "sheet", ["row"], F.coalesce(F.upper("_c") == "OR", F.lit(False)), "row")
-    rows = rows.join(projects(spark), "sheet").where(~text.is_drop_row(F.col("component")))
+    tidy = {"_c": text.clean_text(F.col("component")), "_cat": text.clean_text(F.col("category")), "_std": text.clean_text(F.col("standard"))}
+    rows = windows.or_groups(raw.withColumns(tidy), "sheet", ["row"], F.coalesce(F.upper("_c") == "OR", F.lit(False)), "row")
+    rows = rows.join(projects(spark), "sheet").where(~text.is_drop_row(F.col("_c"), cleaned=True))
     rows = rows.withColumn("_k", text.name_key(F.col("_c"), cleaned=True)).where("_k is not null")
     rows = rows.join(r.drop.withColumnRenamed("key", "_k"), "_k", "left_anti")
     rows = rows.join(r.merge.select(F.col("key").alias("_k"), "canonical"), "_k", "left").withColumn("_p", text.part_number(F.col("_c")))
-    rows = rows.withColumn("base_key", F.coalesce(text.name_key(F.col("_p.full"), cleaned=True), "canonical", "_k")).withColumn("cat", text.category(F.col("category")))
+    rows = rows.withColumn("base_key", F.coalesce(text.name_key(F.col("_p.full"), cleaned=True), "canonical", "_k")).withColumn("cat", text.category(F.col("_cat"), cleaned=True))
     rows = _flag(rows, r.family_names, "key", F.col("base_key"), "_family")
     rows = _flag(rows, r.split_names, "key", F.col("base_key"), "_by_name")
     rows = _flag(rows, r.split_categories, "category", F.lower("cat"), "_by_cat")
@@ -86,7 +88,7 @@ def keyed_rows(raw: DataFrame, r: Rules) -> DataFrame:
     rows = rows.withColumn("scope", scope).withColumn("key", joins.scope_key(F.col("base_key"), F.col("_family"), split, F.col("family"), F.col("project")))
     group = F.when(F.col("choice_group").isNotNull(), F.concat("project", F.lit("#or"), F.col("choice_group").cast("string")))
     return rows.select("seq", "sheet", "row", "project", "project_status", "key", "base_key", split.alias("split"), "scope", F.col("_c").alias("name"), "cat", F.col("_p.base").alias("base_product"),
-                       F.col("_p.machining").alias("machining"), text.clean_text(F.col("standard")).alias("standard"), "qty", "size", "notes", "entries", group.alias("choice_group"))
+                       F.col("_p.machining").alias("machining"), F.col("_std").alias("standard"), "qty", "size", "notes", "entries", group.alias("choice_group"))
 
 
 def folded_cells(rows: DataFrame) -> DataFrame:
@@ -109,8 +111,9 @@ def _list(df: DataFrame, keys: list[str], value: str, seq: str) -> DataFrame:
 
 def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
     """The master tables. `status` (url, status, reason) is the merged link state; without it
-    every link is unchecked. An empty catalogue gives empty tables."""
-    rows = keyed_rows(raw, r)
+    every link is unchecked. An empty catalogue gives empty tables. Rows have no order of
+    their own: seq is the order of first sight, in_order() that of the published tables."""
+    rows = stage(keyed_rows(raw, r))  # read by every table below
     items = rows.groupBy("key").agg(F.min("seq").alias("seq"), F.min_by("base_key", "seq").alias("base_key"), F.min_by("scope", "seq").alias("scope"), F.min_by("base_product", "seq").alias("base_product"), F.min_by("machining", "seq").alias("machining"))
     vote = lambda v, out: aggregates.majority_vote(rows, ["key"], v, "seq").select("key", F.col(v).alias(out))
     lists = lambda v, out: aggregates.by_frequency(rows, ["key"], v, "seq").select("key", F.col(v).alias(out))
@@ -130,28 +133,34 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
     uses = uses.join(_list(counted.where("q.qty is not null"), ["key", "project"], "q", "seq").withColumnRenamed("q", "qty"), ["key", "project"], "left")
 
     cells = folded_cells(rows).withColumn("order", F.col("seq") * 100000 + F.col("head")).withColumn("role", text.role(F.col("slot")))
+    cells = stage(cells)
     linked = cells.where("url is not null and url <> ''").withColumn("url_key", urls.url_key(F.col("url"))).withColumn("canonical", urls.canonical_url(F.col("url")))
+    linked = stage(linked)
     seen = F.struct("order", "project", "sheet", "row", "cols", "slot")
     by = ["key", "url_key"]
     sources = linked.groupBy(*by).agg(
         F.min_by("canonical", "order").alias("url"), F.min_by(urls.is_affiliate(F.col("url"), F.col("label")), "order").alias("affiliate"), F.array_sort(F.collect_list(seen)).alias("seen"), F.min("order").alias("seq")
     )
     affiliates = linked.select(*by, "order", F.explode("affiliate_urls").alias("affiliate_urls"))
-    for part, out in (("label", "labels"), ("role", "roles"), ("project", "projects")):
+    for part, out in (("label", "labels"), ("role", "roles"), ("project", "projects"), ("url", "raw_urls")):
         sources = sources.join(_list(linked.select(*by, part, "order"), by, part, "order").withColumnRenamed(part, out), by, "left")
     sources = sources.join(_list(affiliates, by, "affiliate_urls", "order"), by, "left")
     vendors = raw.sparkSession.createDataFrame(dims.VENDORS, "suffix string, vendor_id string, vendor_name string")
     sources = joins.longest_suffix(sources.withColumn("host", urls.host_of(F.col("url"))), "host", vendors)
     if status is None:
         sources = sources.withColumn("link_ok", F.lit("unchecked")).withColumn("reason", F.lit(None).cast("string"))
-        dead = F.lit(False)
+        codes = F.transform(F.coalesce("affiliate_urls", F.expr("cast(array() as array<string>)")), lambda x: F.lit("unchecked"))
     else:
         state = status.select("url", F.col("status").alias("link_ok"), "reason")
-        codes = sources.select(*by, F.explode("affiliate_urls").alias("url")).join(state, "url").groupBy(*by).agg(F.max(F.col("link_ok") == "no").alias("_dead"))
-        sources = sources.join(state, "url", "left").withColumn("link_ok", F.coalesce("link_ok", F.lit("unchecked"))).join(codes, by, "left")
-        dead = F.coalesce("_dead", F.lit(False))
+        each = sources.select(*by, F.posexplode("affiliate_urls").alias("n", "code")).join(state.select(F.col("url").alias("code"), F.col("link_ok").alias("ok")), "code", "left")
+        ordered = F.array_sort(F.collect_list(F.struct("n", F.coalesce("ok", F.lit("unchecked")).alias("ok"))))
+        each = each.groupBy(*by).agg(F.transform(ordered, lambda x: x.ok).alias("_codes"))
+        sources = sources.join(state, "url", "left").withColumn("link_ok", F.coalesce("link_ok", F.lit("unchecked"))).join(each, by, "left")
+        codes = F.coalesce("_codes", F.expr("cast(array() as array<string>)"))
+    sources = sources.withColumn("affiliate_link_ok", codes)  # as affiliate_urls, place by place
+    dead = F.array_contains("affiliate_link_ok", "no")
     short = F.col("url").contains("s.click.aliexpress") | F.col("url").contains("a.aliexpress")
-    sources = sources.withColumn("link_note", linkstate.link_note(F.col("reason"), F.col("link_ok"), short, dead)).drop("_dead")
+    sources = sources.withColumn("link_note", linkstate.link_note(F.col("reason"), F.col("link_ok"), short, dead)).drop("_codes")
     ranks = F.create_map(*(F.lit(x) for i, name in enumerate(dims.ROLE_ORDER) for x in (name, i)))
     sources = sources.withColumn("role_rank", F.array_min(F.transform("roles", lambda x: F.element_at(ranks, x))))
 
@@ -161,7 +170,7 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
         unlinked = unlinked.join(_list(plain, ["key", "label"], part, "order").withColumnRenamed(part, out), ["key", "label"])
     noted = rows.select("key", "project", "seq", F.explode("notes").alias("note")).withColumn("note", text.clean_text(F.col("note"))).where("note is not null")
     notes = noted.groupBy("key", "note").agg(F.min("seq").alias("seq")).join(_list(noted, ["key", "note"], "project", "seq").withColumnRenamed("project", "projects"), ["key", "note"])
-    return Master(items, uses, sources, unlinked, notes)
+    return Master(*map(stage, (items, uses, sources)), unlinked, notes)
 
 
 def coverage_report(m: Master) -> DataFrame:
@@ -178,18 +187,51 @@ def unlinked_report(m: Master) -> DataFrame:
     return m.uses.select("key", "project", "project_status").join(have, ["key", "project"], "left_anti")
 
 
-def validate(raw: DataFrame, r: Rules, m: Master) -> DataFrame:
-    """(check, missing): what the master lost. Links by url key, spellings by project, notes,
-    and ids that are not unique; all zero for a lossless fold."""
-    rows = keyed_rows(raw, r)
-    cells = rows.select("key", "project", F.explode("entries").alias("e"))
-    want = cells.where("e.url is not null and e.url <> ''").select(urls.url_key(F.col("e.url")).alias("u")).distinct()
-    have = m.sources.select(F.col("url_key").alias("u")).union(m.sources.select(F.explode("affiliate_urls").alias("a")).select(urls.url_key(F.col("a"))))
-    pairs = rows.select("key", "project").distinct().join(m.uses.select("key", "project"), ["key", "project"], "left_anti")
-    notes = rows.select(F.explode("notes").alias("n")).select(text.clean_text(F.col("n")).alias("note")).where("note is not null").distinct().join(m.notes.select("note").distinct(), "note", "left_anti")
-    ids = m.items.groupBy("id").count().where("count > 1")
+def in_order(items: DataFrame) -> DataFrame:
+    """Items in the order of the published tables."""
+    return items.orderBy(F.coalesce("category", F.lit("zz")), F.lower("name"), "seq")
+
+
+def failures(raw: DataFrame, r: Rules, m: Master, manual: DataFrame | None = None) -> DataFrame:
+    """(check, what): what the master lost or got wrong. Links by url key, spellings by
+    project, notes, verdicts by hand (url) that no link has, repeated ids, uses on unknown
+    projects, and urls that are none. Every check reads the raw rows again, not the fold."""
+    spark = raw.sparkSession
+    rows = raw.join(projects(spark).select("sheet", "project"), "sheet").withColumn("k", text.name_key(F.col("component")))
+    rows = rows.join(r.drop.withColumnRenamed("key", "k"), "k", "left_anti")
+    links = rows.select(F.explode("entries").alias("e")).where("e.url is not null and e.url <> ''").select(urls.url_key(F.col("e.url")).alias("what")).distinct()
+    none = F.expr("cast(array() as array<string>)")
+    kept = m.sources.select("url_key", F.explode(F.concat(F.array("url"), F.coalesce("affiliate_urls", none), F.coalesce("raw_urls", none))).alias("u"))
+    kept = kept.select(F.explode(F.array(F.col("url_key"), urls.url_key(F.col("u")))).alias("what")).distinct()
+    named = rows.where("k is not null and k <> 'or' and not startswith(k, 'as an amazon') and not startswith(k, 'as an aliexpress')")
+    spelled = m.items.select("key", F.explode(F.concat(F.array("name"), F.coalesce("aliases", none))).alias("n")).join(m.uses.select("key", "project"), "key").select(text.name_key(F.col("n")).alias("k"), "project")
+    pairs = named.select("k", "project").distinct().join(spelled, ["k", "project"], "left_anti").select(F.concat_ws(" on ", "k", "project").alias("what"))
+    notes = named.select(F.explode("notes").alias("n")).select(text.clean_text(F.col("n")).alias("what")).where("what is not null").distinct().join(m.notes.select(F.col("note").alias("what")), "what", "left_anti")
+    found = {
+        "urls": links.join(kept, "what", "left_anti"), "names": pairs, "notes": notes,
+        "ids": m.items.groupBy("id").count().where("count > 1").select(F.col("id").alias("what")),
+        "projects": m.uses.join(projects(spark).select("project"), "project", "left_anti").select(F.concat_ws(" on ", "project", "key").alias("what")),
+        "bad urls": m.sources.where("not startswith(url, 'http')").select(F.concat_ws(" on ", "url", "key").alias("what")),
+    }
+    if manual is not None:
+        real = m.sources.select(F.explode(F.concat(F.array("url"), F.coalesce("affiliate_urls", none))).alias("url"))
+        found["verdicts"] = manual.select("url").distinct().join(real, "url", "left_anti").select(F.col("url").alias("what"))
     out = None
-    for name, df in (("urls", want.join(have, "u", "left_anti")), ("names", pairs), ("notes", notes), ("ids", ids)):
-        one = df.agg(F.count("*").alias("missing")).select(F.lit(name).alias("check"), "missing")
+    for name, df in found.items():
+        one = df.select(F.lit(name).alias("check"), "what")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+#: The checks of failures(), with the most lines of each that are shown to people.
+CHECKS = {"urls": 10, "names": 10, "notes": 5, "verdicts": 40, "ids": 40, "projects": 40, "bad urls": 40}
+
+
+def validate(raw: DataFrame, r: Rules, m: Master, manual: DataFrame | None = None) -> DataFrame:
+    """(check, missing, shown): number of failures(), all zero for a lossless fold, and the
+    first of them as an array."""
+    every = raw.sparkSession.createDataFrame([(c, n) for c, n in CHECKS.items() if manual is not None or c != "verdicts"], "check string, most int")
+    n = F.row_number().over(Window.partitionBy("check").orderBy("what"))
+    found = failures(raw, r, m, manual).withColumn("n", n).join(F.broadcast(every), "check")  # seven rows
+    found = found.groupBy("check").agg(F.count("*").alias("missing"), F.array_sort(F.collect_list(F.when(F.col("n") <= F.col("most"), F.col("what")))).alias("shown"))
+    return every.join(found, "check", "left").select("check", F.coalesce("missing", F.lit(0)).alias("missing"), F.coalesce("shown", F.expr("cast(array() as array<string>)")).alias("shown"))

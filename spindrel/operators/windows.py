@@ -45,9 +45,21 @@ def slot_intervals(df: DataFrame, part: str, start: str, last: Column) -> DataFr
 
 
 def numbered_ids(df: DataFrame, base: str, order: list[str]) -> DataFrame:
-    """Adds id: base, then base-2, base-3 … in order of first sight."""
+    """Adds id, unique: in order of first sight a base, or base-2, base-3 … where that is in
+    use, be it as another row's own base. Only bases that differ in trailing numbers can
+    meet; where such ones do repeat, they are numbered one after the other."""
     n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return df.withColumn("id", F.when(n == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), n.cast("string"))))
+    stem = F.regexp_replace(base, "(-[0-9]+)+$", "")
+    df = df.withColumn("_n", n).withColumn("_stem", stem)
+    each = df.groupBy("_stem", base).agg(F.count("*").alias("n")).groupBy("_stem").agg(F.count("*").alias("bases"), F.max("n").alias("most"))
+    row = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), F.col(base).alias("b"), F.col("_n").alias("n"))
+    tangled = df.join(each.where("bases > 1 and most > 1").select("_stem"), "_stem", "left_semi").groupBy("_stem").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    free = "filter(sequence(2, size(acc) + 2), k -> not exists(acc, y -> y.id = concat(x.b, '-', k)))[0]"
+    fold = f"""aggregate(rows, cast(array() as array<struct<b: string, n: int, id: string>>),
+      (acc, x) -> concat(acc, array(struct(x.b as b, x.n as n, if(exists(acc, y -> y.id = x.b), concat(x.b, '-', {free}), x.b) as id))))"""
+    given = tangled.select(F.explode(F.expr(fold)).alias("g")).select(F.col("g.b").alias(base), F.col("g.n").alias("_n"), F.col("g.id").alias("_id"))
+    plain = F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), F.col("_n").cast("string")))
+    return df.join(given, [base, "_n"], "left").select(*(c for c in df.columns if c not in ("_n", "_stem")), F.coalesce("_id", plain).alias("id"))
 
 
 def primary_rows(df: DataFrame, part: list[str], row: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries and their SQL."""
 
-from . import links, master, relational
+from . import fold, links, master, relational
 
-QUERIES: dict = {**links.QUERIES, **relational.QUERIES, **master.QUERIES}
-SQL: dict[str, str] = {**links.SQL, **relational.SQL, **master.SQL}
+QUERIES: dict = {**links.QUERIES, **relational.QUERIES, **master.QUERIES, **fold.QUERIES}
+SQL: dict[str, str] = {**links.SQL, **relational.SQL, **master.SQL, **fold.SQL}

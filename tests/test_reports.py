@@ -1,5 +1,7 @@
 """Reports and views over one small catalogue, whose master tables are written once."""
 
+import difflib
+
 import pytest
 
 from spindrel.functions import dims
@@ -61,7 +63,8 @@ def test_conflicts_and_shared_links(made):
     _, _, m, _ = made
     got = [(x["item_name"], x["role"], x["variant"], x["projects"], x["urls"]) for x in reports.conflicts(m).orderBy("variant").collect()]
     assert got == [("Rail", "recommended", 1, PA, "https://rail.com/r"), ("Rail", "recommended", 2, PB, "https://other.com/r")]
-    assert [(x["base_a"], x["base_b"], x["urls"]) for x in reports.shared_links(m).collect()] == [("rail", "sheet", ["https://rail.com/r"])]
+    ratio = difflib.SequenceMatcher(None, "rail", f"sheet @{PB}").ratio()
+    assert [tuple(x) for x in reports.shared_links(m).collect()] == [(ratio, 1, "frame.rail", "Rail", f"{PA} {PB}", f"panels.sheet.{PB}", "Sheet", PB, "https://rail.com/r")]
 
 
 def test_affiliates(made):

@@ -1,4 +1,8 @@
-from spindrel.operators import resolve
+import random
+
+from pyspark.sql import functions as F
+
+from spindrel.operators import resolve, windows
 
 
 def cell(col, slot, text, url=None):
@@ -40,7 +44,7 @@ def test_master(spark):
     assert sources[("hfsb5 2020 370 ah45", "https://misumi-ec.com/p")]["vendor_id"] == "misumi"
     assert [(x["label"], x["roles"]) for x in m.unlinked.collect()] == [("by phone", ["budget"])]
     assert [(x["note"], x["projects"]) for x in m.notes.collect()] == [("tight fit", ["voron-2.4"])]
-    assert {x["check"]: x["missing"] for x in resolve.validate(raw, r, m).collect()} == {"urls": 0, "names": 0, "notes": 0, "ids": 0}
+    assert {x["check"]: x["missing"] for x in resolve.validate(raw, r, m).collect()} == dict.fromkeys(("urls", "names", "notes", "ids", "projects", "bad urls"), 0)
     assert {x["key"]: x["coverage"] for x in resolve.coverage_report(m).collect()}["m3x8 shcs"] == "all_live"
     assert ("bed @v0", "voron-0.1") in {(x["key"], x["project"]) for x in resolve.unlinked_report(m).collect()}
 
@@ -48,3 +52,43 @@ def test_master(spark):
 def test_master_of_nothing(spark):
     m = resolve.fold(spark.createDataFrame([], resolve.RAW), resolve.rules(spark, {}))
     assert m.items.count() == m.sources.count() == m.uses.count() == 0
+
+
+def lost(raw, r, m, manual=None):
+    return {x["check"]: x["missing"] for x in resolve.validate(raw, r, m, manual).collect() if x["missing"]}
+
+
+def test_each_check_can_fail(spark):
+    raw, r = spark.createDataFrame(ROWS, resolve.RAW), resolve.rules(spark, SPEC)
+    m = resolve.fold(raw, r)
+    none = m.items.limit(0)
+    assert lost(raw, r, resolve.Master(m.items, m.uses, m.sources.where("vendor_id <> 'misumi'"), m.unlinked, m.notes)) == {"urls": 1}
+    assert lost(raw, r, resolve.Master(m.items.where("key <> 'm3x8 shcs'"), m.uses, m.sources, m.unlinked, m.notes)) == {"names": 2}
+    assert lost(raw, r, resolve.Master(m.items, m.uses, m.sources, m.unlinked, m.notes.limit(0))) == {"notes": 1}
+    assert lost(raw, r, resolve.Master(m.items.unionByName(m.items.where("key = 'bed @v0'")), m.uses, m.sources, m.unlinked, m.notes)) == {"ids": 1}
+    assert lost(raw, r, resolve.Master(m.items, m.uses.unionByName(m.uses.limit(1).withColumn("project", F.lit("nowhere"))), m.sources, m.unlinked, m.notes)) == {"projects": 1}
+    assert lost(raw, r, resolve.Master(m.items, m.uses, m.sources.unionByName(m.sources.limit(1).withColumn("url", F.lit("ftp://x"))), m.unlinked, m.notes)) == {"bad urls": 1}
+    by_hand = spark.createDataFrame([("https://gone.com/1",), ("https://www.shop.com/a",), ("https://s.click.aliexpress.com/e/x",)], "url string")
+    assert lost(raw, r, m, by_hand) == {"verdicts": 1} and none.count() == 0
+    extra = spark.createDataFrame([(99, "VORON 2.4", 40, None, "OR", None, None, None, [], [cell("F", "?", "x", "https://lost.com/1")])], resolve.RAW)
+    assert lost(raw.unionByName(extra), r, m) == {"urls": 1}
+
+
+def numbered(bases):
+    """One after the other, as a plain loop."""
+    used, out = set(), []
+    for b in bases:
+        x, n = b, 2
+        while x in used:
+            x, n = f"{b}-{n}", n + 1
+        used.add(x)
+        out.append(x)
+    return out
+
+
+def test_ids_are_unique(spark):
+    r = random.Random(3)
+    for bases in (["a", "a-2", "a"], ["a", "a", "a-2"], ["x"] * 5, [r.choice(["a", "a-2", "a-2-2", "b", "b-3", "b-3-2", "c-1"]) for _ in range(60)]):
+        df = spark.createDataFrame(list(enumerate(bases)), "seq long, base string")
+        got = [x["id"] for x in windows.numbered_ids(df, "base", ["seq"]).orderBy("seq").collect()]
+        assert got == numbered(bases) and len(set(got)) == len(got)
