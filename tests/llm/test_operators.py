@@ -737,3 +737,25 @@ def test_very_long_words():
             assert seen.setdefault(bytes(buf[a:b]), int(v)) == int(v)
         assert np.diff(doc).min(initial=0) >= 0
     assert set(seen) == {w.encode() for t in texts for w in t.split()} and len(set(seen.values())) == len(seen)
+
+
+def test_language_model_does_not_depend_on_the_split(spark, monkeypatch):
+    for k, v in (("SHARD_TOKENS", 4000), ("START_TOKENS", 2500), ("GATHER", 1500), ("TOGETHER", 2), ("ROWS", 64)):
+        monkeypatch.setattr(language, k, v)
+    df = spark.createDataFrame([(i, prose(i % 50, 60 + i % 40, 900)) for i in range(300)], "doc_id long, text string")
+    one, other = ({r["doc_id"]: r for r in language.score(df.repartition(n)).collect()} for n in (2, 7))
+    assert all(abs(one[i]["score"] - other[i]["score"]) < 1e-3 and abs(one[i]["base_score"] - other[i]["base_score"]) < 1e-6 for i in one)
+
+
+def test_tokens_are_gathered_whole():
+    import pyarrow as pa
+
+    slots = language.Slots(np.append(np.arange(1, 30, dtype=np.uint64), language._END), np.zeros(30, int), np.arange(30) > 20)
+    texts = [np.append(np.random.default_rng(i).integers(0, 29, i % 7), slots.end).astype(np.int32) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 40), pa.array(range(40)), pa.array([t.tobytes() for t in texts], pa.binary())], ["shard", "order", "slots"])
+    n, want = slots.size, []
+    for t in texts:
+        x = [slots.end, slots.end, *t.tolist()]
+        want += [(x[k] * n + x[k + 1]) * n + x[k + 2] for k in range(len(t))]
+    for most in (None, 50):
+        assert np.concatenate(list(language._gathered([batch.slice(0, 13), batch.slice(13)], slots, most))).tolist() == want[:most]
