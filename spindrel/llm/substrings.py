@@ -4,8 +4,8 @@ Each window of `window` words gets a Rabin-Karp hash of 64 bits, and 32 bits of
 one. A map task gathers windows of about CHUNK_WINDOWS into a chunk and sends every
 distinct hash of the chunk once, to one of many buckets by hash range; what a chunk
 repeats by itself it knows already, so a passage that a third of the corpus shares is one
-row per chunk. There is a bucket for each BUCKET_BYTES of text, so that one holds some two
-million windows whatever the size of the corpus, and each is a partition of its own. A
+row per chunk. There is a bucket for each BUCKET_BYTES of text, so that one holds a million
+windows or two whatever the size of the corpus, and each is a partition of its own. A
 bucket counts its hashes and answers each chunk with the positions of its repeated
 windows; these merge into maximal intervals per document. Texts are only moved for
 documents that lose words.
@@ -30,7 +30,7 @@ from .tokens import chunks, more_bits, windows, words
 #: Windows that a map task holds at once.
 CHUNK_WINDOWS = 1 << 20
 #: Text bytes whose windows share a bucket.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
 #: Bits of the first hash (tests take few, so that it collides).
 HASH_BITS = 64
 _U = np.uint64
