@@ -150,3 +150,8 @@ def jaccard(a: Column, b: Column) -> Column:
     """Of two token arrays; two empty ones are alike."""
     both = F.size(F.array_union(a, b))
     return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / both)
+
+
+def fixed(x: Column, places: int) -> Column:
+    """A number with that many places, half to even."""
+    return F.format_string(f"%.{places}f", F.bround(x, places))

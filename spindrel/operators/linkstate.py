@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.urls import host_of
+
 FIELDS = ["status", "reason", "http", "final_url"]
 
 
@@ -32,6 +34,18 @@ def stale(state: DataFrame, manual: DataFrame, urls: DataFrame, key: str, at: st
     return todo.where(due).select(key)
 
 
+def worklist(due: DataFrame, key: str, *, only: str | None = None, exclude: str | None = None, limit: int | None = None) -> DataFrame:
+    """Keys to check with their host, by host; hosts that hold `only` and do not hold
+    `exclude`; the first `limit` of them, which is how a run is kept short."""
+    out = due.select(key, F.coalesce(host_of(F.col(key)), F.lit("")).alias("host"))
+    if only is not None:
+        out = out.where(F.col("host").contains(only.lower()))
+    if exclude is not None:
+        out = out.where(~F.col("host").contains(exclude.lower()))
+    out = out.orderBy("host", key)
+    return out if limit is None else out.limit(limit)
+
+
 def confirmed(observations: DataFrame, key: str, order: list[str], reason: str) -> DataFrame:
     """First observation per key, where `no` needs the next one to agree; otherwise that one
     stands, with a remark."""

@@ -210,3 +210,8 @@ def redline(raw: DataFrame, r: Rules, m: Master) -> DataFrame:
                        F.when(F.col("p.new").isNull(), "removed").when(F.col("p.old").isNull(), "added").otherwise("kept").alias("change"))
     lists = reports._gather(each, ["sheet", "row"], F.struct("runs", "url", "change"), [F.col("n")], "links")
     return whole.drop("pairs").join(lists, ["sheet", "row"], "left").withColumn("links", F.coalesce("links", F.expr("cast(array() as array<struct<runs: array<struct<op: string, text: string>>, url: string, change: string>>)")))
+
+
+def summary(df: DataFrame, column: str) -> DataFrame:
+    """(sheet, column, n): rows of a view or redline by kind or outcome, for each tab."""
+    return df.groupBy("sheet", column).agg(F.count("*").alias("n"))

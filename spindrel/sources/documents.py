@@ -53,11 +53,15 @@ def reviewed_pairs(spark: SparkSession, spec: dict) -> DataFrame:
 
 
 def cookies(spark: SparkSession, path: str) -> DataFrame:
-    """(domain, header) of a tab-separated cookie file, in file order."""
+    """(domain, header) of a tab-separated cookie file, in file order; a file that holds a
+    header instead is for all hosts (the empty domain). It is one small document."""
+    whole = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    bare = spark.read.text(path, wholetext=True).select(whole.alias("header")).where("header <> '' and not startswith(header, '#') and not contains(header, '\t')")
     part = F.split("value", "\t")
     rows = spark.read.text(path).withColumn("n", F.monotonically_increasing_id()).where(~F.col("value").startswith("#") & (F.size(part) >= 7))
     pair = F.struct("n", F.concat(part[5], F.lit("="), part[6]).alias("kv"))
-    return rows.select(F.regexp_replace(part[0], r"^\.", "").alias("domain"), pair.alias("p")).groupBy("domain").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x.kv), "; ").alias("header"))
+    jar = rows.select(F.regexp_replace(part[0], r"^\.+", "").alias("domain"), pair.alias("p")).groupBy("domain").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x.kv), "; ").alias("header"))
+    return bare.select(F.lit("").alias("domain"), "header").unionByName(jar)
 
 
 def report_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -72,9 +76,38 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_buckets(df: DataFrame, bucket: str, path: str) -> None:
-    """One folder per bucket; folders of buckets that are empty now disappear."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(bucket).option("header", True).option("escape", '"').csv(path)
+    """All rows under all, and one folder per bucket; folders of buckets that are empty now
+    disappear."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/all")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(bucket).option("header", True).option("escape", '"').csv(f"{path}/by_{bucket}")
 
 
-def master_json(items: DataFrame, path: str) -> None:
-    items.select(F.to_json(F.struct(*items.columns)).alias("value")).write.mode("overwrite").text(path)
+def write_json(df: DataFrame, path: str) -> None:
+    """A document per row, nested as the row is."""
+    df.write.mode("overwrite").json(path)
+
+
+def write_raw(rows: DataFrame, layout: DataFrame, path: str) -> None:
+    """Raw rows, and the layout they were read with: per sheet its slots in order."""
+    slot = F.struct("start", "end", F.col("slot").alias("name"), "kind")
+    write_json(rows, f"{path}/rows")
+    write_json(layout.groupBy("sheet").agg(F.array_sort(F.collect_list(slot)).alias("slots")), f"{path}/layouts")
+
+
+def write_master(items: DataFrame, projects: DataFrame, vendors: DataFrame, roles: list[str], path: str) -> None:
+    """The nested master: an item per document, and the lists that all of them share."""
+    write_json(items, f"{path}/items")
+    write_json(projects, f"{path}/projects")
+    write_json(vendors, f"{path}/vendors")
+    write_json(items.sparkSession.createDataFrame([(i, r) for i, r in enumerate(roles)], "place int, role string"), f"{path}/roles")
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A page of text as one file."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_fills(fills: DataFrame, path: str) -> None:
+    """Colours by category as one document {category: colour}."""
+    pairs = fills.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "fill")))).alias("m"))
+    pairs.select(F.to_json("m").alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -7,20 +7,23 @@ sets the pace; replies leave the task a few at a time.
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import pages, urls
+from ..functions import dims, pages, urls
 from ..operators import linkstate
 
-# ---- fixed values: seconds between requests to a host, of a request, and bytes of a body
-DELAY, SLOW_DELAY, TIMEOUT, BODY = 1.5, 3.0, 25, 400_000
+# ---- fixed values: seconds between requests to a host, at most added to a wait, of a request, and bytes of a body
+DELAY, SLOW_DELAY, JITTER, TIMEOUT, BODY = 1.5, 3.0, 0.4, 25, 400_000
+#: Links of a host that are asked and saved before the next ones.
+EVERY = 20
 #: Replies that leave a task together (bodies may be BODY bytes each).
 BATCH = 16
 #: Refusals in a row after which a host is left alone.
@@ -55,7 +58,7 @@ def _decoded(body: bytes, charset: str | None) -> str:
         return body[:BODY].decode("utf-8", "replace")
 
 
-def _requests(get: Getter, delay: float, slow: dict[str, float], patience: int):
+def _requests(get: Getter, delay: float, slow: dict[str, float], jitter: float, patience: int):
     columns = [c.split()[0] for c in REPLY.split(", ")]
 
     def run(frames):
@@ -67,11 +70,11 @@ def _requests(get: Getter, delay: float, slow: dict[str, float], patience: int):
                     host, refused, last = at, 0, {}
                 final, code, body, error = None, None, None, None
                 if refused >= patience:
-                    error = "host refuses automated requests"
+                    error = REFUSES
                 else:
                     wait = slow.get(at, delay) - (time.monotonic() - last.get(at, float("-inf")))
                     if wait > 0:
-                        time.sleep(wait)
+                        time.sleep(wait + random.uniform(0, jitter))
                     try:
                         final, code, raw, charset = get(url, cookie)
                         body = _decoded(raw, charset)
@@ -101,13 +104,15 @@ def cookie_of(links: DataFrame, cookies: DataFrame | None) -> DataFrame:
     return links.join(found, "host", "left")
 
 
-def fetch(links: DataFrame, get: Getter = http_get, *, cookies: DataFrame | None = None, delay: float = DELAY, slow: dict[str, float] | None = None, patience: int = PATIENCE) -> DataFrame:
-    """REPLY of every distinct url of `links`. A failed request has its error and no code. Each
-    evaluation asks again: write the result before it is used twice."""
+def fetch(links: DataFrame, get: Getter = http_get, *, cookies: DataFrame | None = None, delay: float = DELAY, slow: dict[str, float] | None = None, jitter: float = JITTER, patience: int = PATIENCE) -> DataFrame:
+    """REPLY of every distinct url of `links`. `slow` has the delay of hosts that need another
+    one (by default SLOW_DELAY for the known ones). A failed request has its error and no
+    code. Each evaluation asks again: write the result before it is used twice."""
     hosts = cookie_of(links.select("url").where("url <> ''").distinct().withColumn("host", F.coalesce(urls.host_of(F.col("url")), F.lit(""))), cookies)
     n = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = hosts.repartition(n, "host").sortWithinPartitions("host", "url").select("url", "host", "cookie")
-    return placed.mapInPandas(_requests(get, delay, slow or {}, patience), REPLY)
+    slow = dict.fromkeys(dims.SLOW_HOSTS, SLOW_DELAY) if slow is None else slow
+    return placed.mapInPandas(_requests(get, delay, slow, jitter, patience), REPLY)
 
 
 def _verdicts(replies: DataFrame) -> DataFrame:
@@ -117,21 +122,54 @@ def _verdicts(replies: DataFrame) -> DataFrame:
     return judged.select("url", F.coalesce("j.verdict", F.lit("maybe")).alias("status"), F.coalesce("j.reason", "error").alias("reason"), F.col("code").alias("http"), moved.alias("final_url"), "checked_at")
 
 
-def check(links: DataFrame, path: str, get: Getter = http_get, **options) -> DataFrame:
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+REFUSES, WALL = "host refuses automated requests", "bot check or login wall"
+
+
+def check(links: DataFrame, path: str, get: Getter = http_get, *, every: int = EVERY, patience: int = PATIENCE, **options) -> DataFrame:
     """(url, status, reason, http, final_url, checked_at) of `links` (url). Hosts that are not
     to be asked are `maybe` at once. A `no` needs a second one; otherwise the second answer
-    stands with a remark. Both rounds of answers are written under `path` before use."""
+    stands with a remark.
+
+    Links are asked in rounds of `every` for each host, and the answers of a round are written
+    under `path` before the next one: a check that was stopped goes on from there if it is
+    called with the same path. A host that showed `patience` bot checks, or refused that many
+    requests in a row, is not asked in the rounds that follow."""
     spark = links.sparkSession
-    skipped = links.select("url").where("url <> ''").distinct().withColumn("reason", pages.unfetched(F.col("url")))
-    _verdicts(fetch(skipped.where("reason is null"), get, **options)).write.mode("overwrite").parquet(f"{path}/first")
-    first = spark.read.parquet(f"{path}/first")
-    _verdicts(fetch(first.where("status = 'no'"), get, **options)).write.mode("overwrite").parquet(f"{path}/second")
-    both = first.withColumn("attempt", F.lit(1)).unionByName(spark.read.parquet(f"{path}/second").withColumn("attempt", F.lit(2)))
+    if not _exists(spark, f"{path}/todo/_SUCCESS"):
+        todo = links.select("url").where("url <> ''").distinct().withColumn("reason", pages.unfetched(F.col("url"))).withColumn("host", F.coalesce(urls.host_of(F.col("url")), F.lit("")))
+        n = F.row_number().over(Window.partitionBy("host", F.col("reason").isNull()).orderBy("url"))
+        todo.withColumn("round", F.floor((n - 1) / every).cast("int")).write.mode("overwrite").parquet(f"{path}/todo")
+    todo = spark.read.parquet(f"{path}/todo")
+    open_ = todo.where("reason is null")
+    rounds = (open_.agg(F.max("round")).first()[0] or 0) + 1
+    null = lambda c, t: F.lit(None).cast(t).alias(c)
+    for i in range(rounds):
+        first, second = (f"{path}/{name}/round={i}" for name in ("first", "second"))
+        if not _exists(spark, f"{first}/_SUCCESS"):
+            now = open_.where(F.col("round") == i)
+            if i:
+                seen = spark.read.option("basePath", f"{path}/first").parquet(*(f"{path}/first/round={k}" for k in range(i)))
+                seen = seen.withColumn("host", F.coalesce(urls.host_of(F.col("url")), F.lit("")))
+                shut = seen.groupBy("host").agg(F.count_if(F.col("reason") == REFUSES).alias("r"), F.count_if(F.col("reason") == WALL).alias("w")).where((F.col("r") > 0) | (F.col("w") >= patience)).select("host")
+                given_up = now.join(shut, "host", "left_semi").select("url", F.lit("maybe").alias("status"), F.lit(REFUSES).alias("reason"), null("http", "int"), null("final_url", "string"), F.current_timestamp().alias("checked_at"))
+                now = now.join(shut, "host", "left_anti")
+            answers = _verdicts(fetch(now, get, patience=patience, **options))
+            (answers.unionByName(given_up) if i else answers).write.mode("overwrite").parquet(first)
+        if not _exists(spark, f"{second}/_SUCCESS"):
+            doubt = spark.read.parquet(first).where("status = 'no'")
+            _verdicts(fetch(doubt, get, patience=patience, **options)).write.mode("overwrite").parquet(second)
+    first, second = (spark.read.parquet(f"{path}/{name}").drop("round").withColumn("attempt", F.lit(k)) for k, name in enumerate(("first", "second"), 1))
+    both = first.unionByName(second)
     judged = linkstate.confirmed(both, "url", ["attempt"], "reason")
     latest = both.withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy(F.desc("attempt")))).where("_n = 1")
     out = judged.join(latest.select("url", "http", "final_url", "checked_at"), "url").select("url", "status", "reason", "http", "final_url", "checked_at")
-    null = lambda c, t: F.lit(None).cast(t).alias(c)
-    return out.unionByName(skipped.where("reason is not null").select("url", F.lit("maybe").alias("status"), "reason", null("http", "int"), null("final_url", "string"), F.current_timestamp().alias("checked_at")))
+    skipped = todo.where("reason is not null").select("url", F.lit("maybe").alias("status"), "reason", null("http", "int"), null("final_url", "string"), F.current_timestamp().alias("checked_at"))
+    return out.unionByName(skipped)
 
 
 def status_report(state: DataFrame) -> DataFrame:

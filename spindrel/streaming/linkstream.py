@@ -2,21 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import zlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.linkstate import merge
 
+#: Parts of the state; a micro-batch rewrites only those that its keys belong to.
+PARTS = 64
+
+
+def _folders(spark: SparkSession, path: str) -> dict[int, list[tuple[int, str]]]:
+    """Per part its versions (number, folder name), oldest first. Names are part-number-tag."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, list[tuple[int, str]]] = {}
+    if fs.exists(p):
+        for f in fs.listStatus(p):
+            name = f.getPath().getName()
+            if f.isDirectory() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")):
+                part, number, _ = name.split("-", 2)
+                out.setdefault(int(part), []).append((int(number), name))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state kept under `path`, or None before the first verdict."""
+    latest = [f"{path}/{v[-1][1]}" for v in _folders(spark, path).values()]
+    return spark.read.parquet(*latest) if latest else None
+
 
 def keep_state(verdicts: DataFrame, key: str, at: str, extra: list[str], path: str, checkpoint: str) -> StreamingQuery:
-    """Starts a query that keeps the state under `path`, one version per micro-batch. A
-    batch that is replayed reads the version before it and writes the same one again."""
+    """Starts a query that keeps the state of `verdicts` under `path`, in PARTS parts by key
+    with a version for each micro-batch that touched them. A batch that is replayed reads the
+    versions before its own and writes the same ones again; a query with a new checkpoint
+    goes on from the state that is there. Of each part the last two versions are kept."""
+    tag = f"{zlib.crc32(checkpoint.encode()):08x}"
 
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(key, "status", at, *extra)
-        if epoch:
-            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{path}/v{epoch - 1}"))
-        merge(rows, key, at, extra).select(key, "status", at, *extra).write.mode("overwrite").parquet(f"{path}/v{epoch}")
+        own = f"{tag}.{epoch}"
+        columns = [key, "status", at, *extra]
+        rows = batch.select(*columns).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")).persist()
+        try:
+            have = _folders(spark, path)
+            fs_path = spark._jvm.org.apache.hadoop.fs.Path
+            fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+            for part in sorted(r[0] for r in rows.select("_part").distinct().collect()):  # at most PARTS
+                before = [v for v in have.get(part, []) if v[1].split("-", 2)[2] != own]
+                new = rows.where(F.col("_part") == part).select(*columns)
+                if before:
+                    new = new.unionByName(spark.read.schema(new.schema).parquet(f"{path}/{before[-1][1]}"))
+                number = before[-1][0] + 1 if before else 0
+                merge(new, key, at, extra).select(*columns).write.mode("overwrite").parquet(f"{path}/{part}-{number}-{own}")
+                for _, name in before[:-1]:
+                    fs.delete(fs_path(f"{path}/{name}"), True)
+        finally:
+            rows.unpersist()
 
     return verdicts.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,3 +1,4 @@
+import shutil
 import time
 
 from spindrel.functions import dims
@@ -36,7 +37,7 @@ def test_check(spark, tmp_path):
     names = ("fine", "gone", "flaky", "down", "slow", "odd", "moved", "fine")
     links = [(f"https://a.com/{n}",) for n in names] + [(f"https://wall.com/no{i}",) for i in range(7)] + [(f"https://{dims.SKIP_HOSTS[0]}/x",), (f"https://{dims.BLOCKED_HOSTS[0]}/x",), (None,), ("",)]
     jar = spark.createDataFrame([("a.com", "k=1"), ("", "any=1")], "domain string, header string")
-    got = {r["url"]: r for r in fetch.check(spark.createDataFrame(links, "url string"), str(tmp_path / "out"), getter(str(log)), cookies=jar, delay=0.05, patience=5).collect()}
+    got = {r["url"]: r for r in fetch.check(spark.createDataFrame(links, "url string"), str(tmp_path / "out"), getter(str(log)), cookies=jar, delay=0.05, jitter=0, patience=5).collect()}
     assert len(got) == 16
     said = {u.rsplit("/", 1)[1]: (r["status"], r["reason"], r["http"]) for u, r in got.items() if "a.com" in u}
     assert said["fine"] == ("yes", "http 200", 200) and said["gone"] == ("no", "http 404", 404) and said["flaky"] == ("yes", "http 200 (first attempt looked dead)", 200)
@@ -51,6 +52,31 @@ def test_check(spark, tmp_path):
     assert not any(h in u for _, u, _ in lines for h in (dims.SKIP_HOSTS[0], dims.BLOCKED_HOSTS[0]))
 
 
+def test_rounds_are_saved_and_taken_up_again(spark, tmp_path):
+    log, path = tmp_path / "log", str(tmp_path / "out")
+    log.touch()
+    links = spark.createDataFrame([(f"https://a.com/fine{i}",) for i in range(7)] + [(f"https://no.com/no{i}",) for i in range(7)], "url string")
+    options = {"every": 3, "delay": 0.0, "jitter": 0, "patience": 2}
+    first = {r["url"]: r["reason"] for r in fetch.check(links, path, getter(str(log)), **options).collect()}
+    assert len(first) == 14 and sum(r == "http 429" for r in first.values()) == 2 and sum(r == fetch.REFUSES for r in first.values()) == 5
+    asked = log.read_text().splitlines()
+    assert len(asked) == 9
+    # the second round is lost: only its links are asked again
+    shutil.rmtree(f"{path}/first/round=1")
+    assert {r["url"]: r["reason"] for r in fetch.check(links, path, getter(str(log)), **options).collect()} == first
+    again = [x.split("\t")[1] for x in log.read_text().splitlines()[len(asked):]]
+    assert sorted(again) == [f"https://a.com/fine{i}" for i in (3, 4, 5)]
+
+
+def test_hosts_that_show_bot_checks_are_left_alone(spark, tmp_path):
+    def get(url, cookie):
+        return url, 200, b"<html>please solve this captcha</html>", None
+
+    links = spark.createDataFrame([(f"https://wall.com/{i}",) for i in range(6)], "url string")
+    got = [r["reason"] for r in fetch.check(links, str(tmp_path / "out"), get, every=2, patience=3, delay=0.0, jitter=0).collect()]
+    assert sorted(got) == [fetch.WALL] * 4 + [fetch.REFUSES] * 2
+
+
 def test_nothing_to_check(spark, tmp_path):
     assert fetch.check(spark.createDataFrame([], "url string"), str(tmp_path / "out"), getter("/nowhere")).count() == 0
 

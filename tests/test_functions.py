@@ -101,16 +101,35 @@ def test_state_merge_is_idempotent_and_order_free(spark):
 
 
 def test_state_stream(spark, tmp_path):
-    from spindrel.streaming.linkstream import keep_state
+    from spindrel.streaming.linkstream import keep_state, read_state
 
-    source = tmp_path / "in"
+    source, state = tmp_path / "in", str(tmp_path / "state")
     schema = "url string, status string, at int"
-    for rows in ([("u", "yes", 1), ("v", "maybe", 1)], [("u", "maybe", 2), ("v", "no", 2)]):
+    assert read_state(spark, state) is None
+
+    def run(rows, checkpoint):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
-        q = keep_state(spark.readStream.schema(schema).parquet(str(source)), "url", "at", [], str(tmp_path / "state"), str(tmp_path / "ck"))
-        q.awaitTermination(60)
-    last = sorted((tmp_path / "state").iterdir(), key=lambda p: int(p.name[1:]))[-1]
-    assert sorted(map(tuple, spark.read.parquet(str(last)).collect())) == [("u", "yes", 1), ("v", "no", 2)]
+        keep_state(spark.readStream.schema(schema).parquet(str(source)), "url", "at", [], state, str(tmp_path / checkpoint)).awaitTermination(60)
+        return sorted(map(tuple, read_state(spark, state).collect()))
+
+    assert run([("u", "yes", 1), ("v", "maybe", 1)], "ck") == [("u", "yes", 1), ("v", "maybe", 1)]
+    assert run([("u", "maybe", 2), ("v", "no", 2)], "ck") == [("u", "yes", 1), ("v", "no", 2)]
+    # a new checkpoint reads everything once more and goes on from the state that is there
+    assert run([("v", "yes", 3), ("w", "no", 3)], "other") == [("u", "yes", 1), ("v", "yes", 3), ("w", "no", 3)]
+    versions = [p.name.split("-")[0] for p in (tmp_path / "state").iterdir()]
+    assert max(versions.count(v) for v in versions) <= 2
+
+
+def test_worklist(spark):
+    due = spark.createDataFrame([("https://b.com/1",), ("https://a.com/2",), ("https://a.com/1",), ("https://shop.a.com/1",)], "url string")
+    urls_ = lambda **k: [r["url"] for r in linkstate.worklist(due, "url", **k).collect()]
+    assert urls_() == ["https://a.com/1", "https://a.com/2", "https://b.com/1", "https://shop.a.com/1"]
+    assert urls_(only="A.com", exclude="shop", limit=1) == ["https://a.com/1"]
+
+
+def test_fixed_numbers(spark):
+    got = spark.createDataFrame([(0.125, 2), (2.5, 0), (1234.5678, 3)], "x double, n int").select("x", *(text.fixed(F.col("x"), n).alias(f"f{n}") for n in (0, 2, 3))).collect()
+    assert (got[0]["f2"], got[1]["f0"], got[2]["f3"]) == ("0.12", "2", "1234.568")
 
 
 def test_near_names(spark):
