@@ -6,20 +6,25 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Writes `df` under spark.checkpoint.dir and reads it back: later steps neither compute
-    it again nor carry its plan, and lost executors cost nothing. Where that is unset a
-    folder of our own serves, but only if driver and executors are one process."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where that is unset a folder of our own serves, but only if
+    driver and executors are one process; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spindrel-")
         spark.conf.set("spark.checkpoint.dir", path)
-    path = f"{path}/table-{uuid.uuid4().hex}"
+    return path
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Writes `df` to the shared folder and reads it back: later steps neither compute it
+    again nor carry its plan, and lost executors cost nothing."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dims, text
 from ..operators import reports, views, windows
-from ..operators.staging import stage
+from ..operators.staging import shared_folder, stage
 from ..sources import workbook
 from . import fold, links, master
 from .links import table
@@ -61,7 +61,7 @@ def workbook_layout(spark, sf_dir):
 
 def _local_file(spark) -> str:
     """A place for one file that the driver writes; it is shared where there is a cluster."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or ""
+    shared = shared_folder(spark)
     folder = shared.removeprefix("file://") if shared.startswith("file://") else tempfile.mkdtemp(prefix="spindrel-")
     os.makedirs(folder, exist_ok=True)
     return f"{folder}/book-{uuid.uuid4().hex}.xlsx"
