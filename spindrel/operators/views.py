@@ -215,3 +215,67 @@ def redline(raw: DataFrame, r: Rules, m: Master) -> DataFrame:
 def summary(df: DataFrame, column: str) -> DataFrame:
     """(sheet, column, n): rows of a view or redline by kind or outcome, for each tab."""
     return df.groupBy("sheet", column).agg(F.count("*").alias("n"))
+
+
+#: Widths of the columns of rendered tabs, the first ones and all others, and of the about sheet.
+WIDTHS, WIDTH, ABOUT_WIDTHS = [18, 44, 14, 10, 10], 30, [26, 21, 21, 21, 21, 21]
+ABOUT = "About"
+
+
+def tab_summary(view: DataFrame) -> DataFrame:
+    """(sheet, name, status, rows, slots, without_link, with_loss) of tab views: component
+    rows, most vendor cells of a row, rows without a live link and rows that lost one."""
+    part = F.col("kind") == "part"
+    out = view.groupBy("sheet").agg(
+        F.count_if(part).alias("rows"), F.max(F.size("links") + F.size("texts")).alias("slots"), F.count_if(part & (F.size("links") == 0)).alias("without_link"), F.count_if(part & F.col("warning").isNotNull()).alias("with_loss")
+    )
+    names = resolve.projects(view.sparkSession).select("sheet", F.col("project_name").alias("name"), F.col("project_status").alias("status"))
+    return out.join(names, "sheet").select("sheet", "name", "status", "rows", "slots", "without_link", "with_loss")
+
+
+def about(view: DataFrame) -> DataFrame:
+    """Cells of a first sheet that says what the workbook is, with a line for each tab."""
+    spark = view.sparkSession
+    text_ = [
+        "Sourcing guide, rebuilt", None, "Names are the shared ones, so a part reads the same on every tab.", "Every live link of a component is listed on all its tabs; dead ones are left out.",
+        "The last column says what a row lost. A row without vendor had dead links only.", None,
+    ]
+    lines = spark.createDataFrame([(i, 1, t, i == 1) for i, t in enumerate(text_, 1) if t], "row int, col int, value string, bold boolean")
+    head = ("Tab", "Status", "Rows", "Vendor slots", "Rows without live link", "Rows that lost links")
+    first = len(text_) + 1
+    lines = lines.unionByName(spark.createDataFrame([(first, i, t, True) for i, t in enumerate(head, 1)], "row int, col int, value string, bold boolean"))
+    order = spark.createDataFrame([(p[0], i) for i, p in enumerate(dims.PROJECTS)], "sheet string, place int")
+    each = tab_summary(view).join(order, "sheet").select("place", F.posexplode(F.array(*(F.col(c).cast("string") for c in ("name", "status", "rows", "slots", "without_link", "with_loss")))).alias("i", "value"))
+    lines = lines.unionByName(each.select((F.lit(first + 1) + F.col("place")).cast("int").alias("row"), (F.col("i") + 1).cast("int").alias("col"), "value", F.lit(False).alias("bold")))
+    null = F.lit(None).cast("string")
+    return lines.select(F.lit(-1).alias("sheet_index"), F.lit(ABOUT).alias("sheet"), "row", "col", "value", null.alias("url"), null.alias("fill"), "bold")
+
+
+def redline_grid(red: DataFrame) -> DataFrame:
+    """Cells of redline tabs, with the edit runs of each (column runs): kept, struck and new
+    words. Links that went or came are coloured, the last column says what happened."""
+    spark = red.sparkSession
+    order = spark.createDataFrame([(p[0], i) for i, p in enumerate(dims.PROJECTS)], "sheet string, sheet_index int")
+    red = red.join(order, "sheet").withColumn("at", F.col("row"))
+    widest = red.groupBy("sheet_index").agg(F.max(F.size("links")).alias("n"))
+    runs_type = "array<struct<op: string, text: string>>"
+    null = F.lit(None).cast("string")
+
+    def out(df, row, col, runs, url=null, fill=null, bold=F.lit(False)):
+        value = F.array_join(F.transform(runs, lambda x: x.text), "")
+        return df.select("sheet_index", "sheet", row.cast("int").alias("row"), col.cast("int").alias("col"), value.alias("value"), url.alias("url"), fill.alias("fill"), bold.alias("bold"), runs.cast(runs_type).alias("runs"))
+
+    kept = lambda c: F.array(F.struct(F.lit("keep").alias("op"), c.alias("text")))
+    tabs = red.select("sheet_index", "sheet").distinct().join(widest, "sheet_index")
+    heads = tabs.select("*", F.posexplode(F.array(*map(F.lit, ("Row", "Category", "Component", "Standard", "Qty", "Size")))).alias("i", "v"))
+    result = out(heads, F.lit(1), F.col("i") + 1, kept(F.col("v")), bold=F.lit(True))
+    result = result.unionByName(out(tabs, F.lit(1), F.col("n") + 7, kept(F.lit("What happened")), bold=F.lit(True)))
+    result = result.unionByName(out(red, F.col("at"), F.lit(1), kept(F.col("row").cast("string"))))
+    for i, c in enumerate(("category", "name", "standard", "qty", "size"), 2):
+        result = result.unionByName(out(red.where(F.size(c) > 0), F.col("at"), F.lit(i), F.col(c)))
+    links = red.select("sheet_index", "sheet", "at", F.posexplode("links").alias("i", "l"))
+    target = F.when(F.coalesce(F.col("l.url"), F.lit("")) != "", F.array(F.struct(F.lit("keep").alias("op"), F.concat(F.lit("  <"), F.col("l.url"), F.lit(">")).alias("text")))).otherwise(_empty(runs_type))
+    colour = F.when(F.col("l.change") == "removed", "FFF8D7DA").when(F.col("l.change") == "added", "FFD4EDDA")
+    result = result.unionByName(out(links, F.col("at"), F.col("i") + 7, F.concat("l.runs", target), fill=colour))
+    noted = red.where(F.coalesce("note", F.lit("")) != "").join(widest, "sheet_index")
+    return result.unionByName(out(noted, F.col("at"), F.col("n") + 7, kept(F.col("note"))))

@@ -275,12 +275,32 @@ def _sheet_name(name: str) -> str:
     return re.sub(r"[\[\]:*?/\\]", " ", name)[:31]
 
 
-def render(grid: DataFrame, path: str) -> None:
+#: Fonts of rich text: words that were deleted and added.
+_RUN = {"del": '<rPr><strike/><color rgb="FF9B2C24"/></rPr>', "add": '<rPr><b/><color rgb="FF1E7B34"/></rPr>', "keep": ""}
+
+
+def _rich(runs) -> str:
+    return "".join(f'<r>{_RUN[x["op"]]}<t xml:space="preserve">{escape(x["text"])}</t></r>' for x in runs)
+
+
+def _columns(widths: list[float], rest: float | None) -> str:
+    """Column widths: of the first ones, and of all that follow."""
+    cols = [f'<col min="{i}" max="{i}" width="{w}" customWidth="1"/>' for i, w in enumerate(widths, 1)]
+    if rest is not None:
+        cols.append(f'<col min="{len(widths) + 1}" max="16384" width="{rest}" customWidth="1"/>')
+    return f"<cols>{''.join(cols)}</cols>" if cols else ""
+
+
+def render(grid: DataFrame, path: str, widths: list[float] = (), rest: float | None = None, by_sheet: dict[str, list[float]] | None = None) -> None:
     """Write a cell grid (sheet_index, sheet, row, col, value, url, fill, bold; all but the
-    places may be null) as a workbook at a local path of the driver. Rows are streamed in
+    places may be null, and there may be runs: edit runs (op, text) of a cell) as a workbook at
+    a local path of the driver. `widths` are of the first columns, `rest` of all others, unless
+    `by_sheet` has a sheet's own. Rows are streamed in
     order of place, so that memory is bounded by one sheet row and the distinct styles. A url
     makes a link formula. A workbook is one file and one writer by its format."""
-    rows = grid.select("sheet_index", "sheet", "row", "col", "value", "url", "fill", "bold").orderBy("sheet_index", "row", "col")
+    if "runs" not in grid.columns:
+        grid = grid.withColumn("runs", F.lit(None).cast("array<struct<op: string, text: string>>"))
+    rows = grid.select("sheet_index", "sheet", "row", "col", "value", "url", "fill", "bold", "runs").orderBy("sheet_index", "row", "col")
     styles: dict[tuple[str | None, bool], int] = {(None, False): 0}
     names: list[str] = []
     ns = _MAIN[1:-1]
@@ -294,7 +314,8 @@ def render(grid: DataFrame, path: str) -> None:
                 sheet, row = r["sheet_index"], None
                 names.append(_sheet_name(r["sheet"]))
                 out = z.open(f"xl/worksheets/sheet{len(names)}.xml", "w")
-                out.write(f'<worksheet xmlns="{ns}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews><sheetData>'.encode())
+                own = _columns(by_sheet[r["sheet"]], None) if by_sheet and r["sheet"] in by_sheet else _columns(list(widths), rest)
+                out.write(f'<worksheet xmlns="{ns}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>{own}<sheetData>'.encode())
             if r["row"] != row:
                 out.write((("</row>" if row is not None else "") + f'<row r="{r["row"]}">').encode())
                 row = r["row"]
@@ -303,6 +324,9 @@ def render(grid: DataFrame, path: str) -> None:
             if r["url"]:
                 url, label = (x.replace('"', '""') for x in (r["url"], r["value"] or r["url"]))
                 formula, value = f"<f>{escape(f'HYPERLINK("{url}","{label}")')}</f>", r["value"] or r["url"]
+            if r["runs"] and any(x["op"] != "keep" for x in r["runs"]) and not formula:
+                out.write(f'<c r="{column_letters(r["col"])}{row}" s="{style}" t="inlineStr"><is>{_rich(r["runs"])}</is></c>'.encode())
+                continue
             shown = f't="str">{formula}<v>{escape(value)}</v>' if formula else f't="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is>' if value else ">"
             out.write(f'<c r="{column_letters(r["col"])}{row}" s="{style}" {shown}</c>'.encode())
         if out:

@@ -1,8 +1,12 @@
+import json
+import pickle
 import shutil
 import time
 
+import pytest
+
 from spindrel.functions import dims
-from spindrel.sources import fetch
+from spindrel.sources import browser, fetch
 
 LONG = "<html><title>Fine</title><p>" + "a product page with plenty to read " * 40
 
@@ -85,3 +89,32 @@ def test_report_order(spark):
     rows = [("https://b.com/1", "yes"), ("https://a.com/1", "no"), ("https://a.com/2", "maybe"), ("https://0.com/1", "no")]
     got = fetch.status_report(spark.createDataFrame(rows, "url string, status string")).collect()
     assert [r["url"] for r in got] == ["https://0.com/1", "https://a.com/1", "https://a.com/2", "https://b.com/1"]
+
+
+class Chrome:
+    """A browser whose title appears late."""
+
+    def __init__(self):
+        self.looks = 0
+
+    def get(self, url):
+        self.current_url, self.page_source = url + "#done", "<html>" + LONG
+
+    @property
+    def title(self):
+        self.looks += 1
+        return "Thing" if self.looks > 2 else ""
+
+    def get_log(self, kind):
+        reply = lambda t, c: {"message": json.dumps({"message": {"method": "Network.responseReceived", "params": {"type": t, "response": {"status": c}}}})}
+        return [reply("Document", 301), reply("Document", 200), reply("Image", 404), {"message": json.dumps({"message": {"method": "Other", "params": {}}})}]
+
+
+def test_browser_getter(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(browser, "LOOK", 0.01)
+    get = browser.BrowserGetter(Chrome, settle=1)
+    assert get("https://a.com/", None)[:2] == ("https://a.com/#done", 200) and pickle.loads(pickle.dumps(browser.BrowserGetter(settle=2))).settle == 2
+    got = fetch.check(spark.createDataFrame([("https://a.com/x",)], "url string"), str(tmp_path / "out"), browser.BrowserGetter(Chrome, settle=1), delay=0.0).first()
+    assert (got["status"], got["http"], got["final_url"]) == ("yes", 200, "https://a.com/x#done")
+    with pytest.raises(RuntimeError, match="selenium"):
+        browser.BrowserGetter()("https://a.com/", None)

@@ -1,6 +1,7 @@
 """Reports and views over one small catalogue, whose master tables are written once."""
 
 import difflib
+import zipfile
 
 import pytest
 
@@ -114,14 +115,31 @@ def test_tab_view(spark, made, tmp_path):
     workbook.render(views.grid(view), path)
     cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).collect()}
     assert cells[(A, 2, 2)]["value"] == "M3x8 SHCS" and cells[(A, 2, 2)]["fill"] == "FF00FF00" and cells[(A, 2, 6)]["formula"] == 'HYPERLINK("https://shop.com/a","Shop")'
+    summary = {x["sheet"]: (x["rows"], x["slots"], x["without_link"], x["with_loss"]) for x in views.tab_summary(view).collect()}
+    assert summary[A] == (4, 2, 0, 3) and summary[OLD] == (1, 1, 1, 0)
+    book = str(tmp_path / "book.xlsx")
+    workbook.render(views.grid(view).unionByName(views.about(view)), book, views.WIDTHS, views.WIDTH, {views.ABOUT: views.ABOUT_WIDTHS})
+    about = {(c["row"], c["col"]): c["value"] for c in workbook.scan(spark, book).where("sheet = 'About'").collect()}
+    assert about[(7, 1)] == "Tab" and about[(8, 1)] == dims.PROJECTS[0][2] and about[(8, 3)] == "4"
+    with zipfile.ZipFile(book) as z:
+        sheets = [z.read(f"xl/worksheets/sheet{i}.xml").decode() for i in (1, 2)]
+    assert '<col min="1" max="1" width="26" customWidth="1"/>' in sheets[0] and '<col min="6" max="16384" width="30" customWidth="1"/>' in sheets[1]
     # rebuilt tabs name the same parts
     again = workbook.raw_rows(workbook.scan(spark, path))
     assert [x["component"] for x in again.where(again.sheet == A).orderBy("row").collect()] == [x["name"] for x in rows]
 
 
-def test_redline(made):
+def test_redline(spark, made, tmp_path):
     raw, r, m, _ = made
     df = views.redline(raw, r, m)
+    path = str(tmp_path / "red.xlsx")
+    workbook.render(views.redline_grid(df), path)
+    with zipfile.ZipFile(path) as z:
+        first = z.read("xl/worksheets/sheet1.xml").decode()
+    assert "<strike/>" in first and '<t xml:space="preserve">SHCS</t>' in first
+    cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).collect()}
+    assert cells[(A, 4, 3)]["value"] == "M3x8 shcsSHCS" and cells[(A, 4, 7)]["fill"] == "FFF8D7DA" and cells[(A, 1, 3)]["value"] == "Component"
+    assert {x["outcome"]: x["n"] for x in views.summary(df.where(df.sheet == A), "outcome").collect()} == {"edited": 3, "separator": 2, "merged": 1, "marker": 2}
     got = {x["row"]: x for x in df.where(df.sheet == A).collect()}
     assert {n: x["outcome"] for n, x in got.items()} == {2: "edited", 3: "separator", 4: "edited", 5: "merged", 6: "separator", 7: "edited", 8: "marker", 9: "marker"}
     assert got[5]["note"] == 'merged into row 2, "M3x8 SHCS"' and got[2]["note"] == "1 dead link removed, 1 link address cleaned"  # the affiliate code is a link too
