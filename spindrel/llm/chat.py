@@ -61,7 +61,10 @@ def preference_pairs(turns: DataFrame, *, learn: tuple[str, ...] = ("assistant",
 
 
 def neighbours(conversations: DataFrame) -> DataFrame:
-    """Pairs out of plain conversations: conversation 2k as chosen, 2k + 1 as rejected."""
+    """Pairs out of plain conversations: conversation 2k as chosen, 2k + 1 as rejected.
+
+    Turns of a null conversation have no pair; null turns, roles and texts stay null; repeated
+    rows stay; other columns are left out; an empty table gives an empty result."""
     conv = F.col("conv_id").cast("long")
     return conversations.select(F.floor(conv / 2).cast("long").alias("pair_id"), (F.pmod(conv, F.lit(2)) == 0).alias("is_chosen"), "turn", "role", "text")
 

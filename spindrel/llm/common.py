@@ -2,50 +2,57 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.staging import shared_folder
+
 #: Bits of a membership bitmap: BITS_PER_KEY for each key, between these two (64 MB).
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir. Where it is unset, a folder of our
-    own, but only if driver and executors are one process; on a cluster that is an error."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="spindrel-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
 def prepare(spark: SparkSession) -> None:
     """Small Arrow batches: rows carry whole texts, and a batch of 10,000 could be gigabytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
 
 
+#: Paths of the tables that stage() wrote in this process.
+_written: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` as a Parquet table in the shared folder and read it back: cuts the
     lineage, and survives the loss of any executor."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/work-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/work-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.work_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the table of a stage() that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.work_path)
+
+
+def finished(make, *args) -> DataFrame:
+    """stage(make(*args)); the work tables that were written on the way are deleted."""
+    before = len(_written)
+    out = stage(make(*args))
+    for path in _written[before:]:
+        if path != out.work_path:
+            _delete(out.sparkSession, path)
+    _written[before:] = [out.work_path]
+    return out
 
 
 def fresh(columns: list[str], name: str) -> str:

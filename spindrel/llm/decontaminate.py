@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, to_driver
 from .tokens import chunks, text_buffers, windows, words
 
 BLOCK_SEEDS = 1 << 20
@@ -191,10 +191,10 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, n: int, per_mille: float):
         block = Items([r[0] for r in rows], [r[1] for r in rows], n)
         if not len(block.grams):
             continue
-        counts = docs.select("text").mapInArrow(_counted(spark.sparkContext.broadcast(block)), "gram long, n long").groupBy("gram").agg(F.sum("n")).collect()
+        counts = docs.select("text").mapInArrow(_counted(spark.sparkContext.broadcast(block)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         df = np.zeros(len(block.grams), dtype=np.int64)
-        for g, c in counts:
-            df[g] = c
+        grams, n = to_driver(counts)  # a row for each of the block's n-grams at most
+        df[grams] = n
         block.rare(df, total, per_mille)
         yield spark.sparkContext.broadcast(block)
 
