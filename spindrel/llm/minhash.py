@@ -10,8 +10,11 @@ the match threshold is confirmed on the full sets.
 
 Sets that are equal are one node from the start, and inside a posting list a couple
 that is already linked through others is not compared again, so a group of copies
-gives links in proportion to its size. A value shared by more than BLOCK sets, by exact
-count, is split into blocks, which are met two at a time. The order by frequency only
+gives links in proportion to its size. Of a value shared by more than BLOCK sets, by exact
+count, the sets are first compared with PIVOTS of them. Most of a family of near copies is
+one component by then and needs no further comparison among itself: only the others are
+compared, with blocks of it and with each other. Where these are many, too, all blocks of
+the list are met two at a time. The order by frequency only
 needs to be one and the same everywhere: it tells the most frequent values apart, whose
 counts are sent to the executors, and takes all others as equally rare.
 """
@@ -32,6 +35,8 @@ from .tokens import chunks, mix, powers, shingle_sets
 COORDS = 96
 #: Sets of one posting list that are compared in one task.
 BLOCK = 2048
+#: Sets of a longer list that all others of it are compared with first.
+PIVOTS = 4
 #: Posting lists up to this length are turned into couples.
 SHORT = 8
 #: Counts up to this one are all taken as rare.
@@ -141,6 +146,22 @@ def lists(posted: DataFrame, wide: DataFrame) -> DataFrame:
     )
 
 
+def stars(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups (grp, rank, node, side) for the long lists `rows` (key, rank, node, n), given the
+    components `labels` (node, root) found so far, and the keys that they settle. The most
+    common component of a list is compared with all other sets in blocks, not with itself."""
+    rows = rows.join(labels, "node", "left")
+    common = rows.where("root is not null").groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("common"))
+    rows = rows.join(common, "key", "left").withColumn("other", ~F.coalesce(F.col("root") == F.col("common"), F.lit(False)))
+    few = rows.groupBy("key").agg(F.count_if("other").alias("others")).where(F.col("others") <= BLOCK)
+    rows = stage(rows.join(few, "key").where("others > 0").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("key", "rank", "node", "other", "blocks"))
+    same, other = rows.where("not other"), rows.where("other")
+    groups = same.selectExpr("xxhash64(key, -1, cast(pmod(xxhash64(node), blocks) as int)) as grp", "rank", "node", "1 as side")
+    every = other.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    groups = groups.unionAll(every.selectExpr("xxhash64(key, -1, block) as grp", "rank", "node", "2 as side"))
+    return groups.unionAll(other.selectExpr("xxhash64(key, -2) as grp", "rank", "node", "0 as side")), few.select("key")
+
+
 def _collisions(shared, need: int):
     """Of each group the nodes that agree `need` times with another, and whose first
     shared pair is the group's own."""
@@ -234,7 +255,7 @@ def _confirmed(shared, need: int, percent: int):
         frequent, counts = (np.frombuffer(b, dtype=t) for b, t in zip(shared.value, (np.uint64, np.int64), strict=True))
         for t in complete_groups(batches, "grp"):
             grp, nodes, sides, ranks = (t[c].to_numpy() for c in ("grp", "node", "side", "rank"))
-            sets, sigs = t["shingles"].combine_chunks(), t["sig"].combine_chunks()
+            sets, sigs = t["shingles"].cast(pa.large_binary()).combine_chunks(), t["sig"].combine_chunks()
             us, vs = [], []
             for b, e in zip(*(x.tolist() for x in bounds(grp)), strict=True):
                 node, first = np.unique(nodes[b:e], return_index=True)
@@ -290,8 +311,37 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
     order = np.argsort(frequent.view(np.uint64))
     shared = spark.sparkContext.broadcast((frequent[order].tobytes(), times[order].tobytes()))
 
+    sig = nodes.select("node", "sig")
+
+    def agreeing(couples):
+        """Groups of the couples (a, b) whose signatures agree."""
+        couples = couples.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
+        couples = couples.mapInArrow(_agreeing(need), "a long, b long").withColumn("grp", F.xxhash64("a", "b"))
+        return couples.select("grp", F.explode(F.array("a", "b")).alias("node"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("rank"))
+
+    def confirmed(active):
+        """Links (u, v) of the groups on full sets."""
+        active = stage(active)
+        marks = active.join(nodes.select("node", "first"), "node").select(F.expr("node ^ shiftleft(coalesce(first, 0L), 17)").alias("k"))
+        bits = spark.sparkContext.broadcast(bitmap(marks, "k"))
+        sets = docs.mapInArrow(_sets(words, bits), "node long, shingles binary")
+        sets = sets.join(active.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
+        full = active.distinct().join(sets, "node").join(sig, "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
+        return full.mapInArrow(_confirmed(shared, need, percent), "u long, v long")
+
     posted = nodes.select("node", "sig").mapInArrow(_postings(shared, need), "key long, rank long, node long")
-    posted = lists(posted, heavy.where(F.col("n") > BLOCK))
+    wide, found = stage(heavy.where(F.col("n") > BLOCK)), None
+    if wide.isEmpty():
+        posted = lists(posted, wide)
+    else:
+        rows = stage(posted.join(wide, "key"))
+        pivot = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"p{i}") for i in range(PIVOTS)]
+        pivots = rows.groupBy("key").agg(*pivot).select("key", F.explode(F.array_distinct(F.array(*(f"p{i}.node" for i in range(PIVOTS))))).alias("pivot"))
+        couples = rows.join(pivots, "key").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        found = stage(confirmed(agreeing(couples)))
+        groups, settled = stars(rows, components(found))
+        settled = stage(settled)
+        posted = lists(posted.join(settled, "key", "left_anti"), wide.join(settled, "key", "left_anti")).unionAll(groups)
     several = stage(posted.withColumn("n", F.count("*").over(Window.partitionBy("grp"))).where("n > 1"))
     # short lists: their couples, each once however many lists it shares; long lists: in one task per list
     couples = (
@@ -302,20 +352,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
         .select("c.a", "c.b")
         .distinct()
     )
-    sig = nodes.select("node", "sig")
-    couples = couples.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-    couples = couples.mapInArrow(_agreeing(need), "a long, b long").withColumn("grp", F.xxhash64("a", "b"))
-    short = couples.select("grp", F.explode(F.array("a", "b")).alias("node"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("rank"))
+    short = agreeing(couples)
     long = several.where(F.col("n") > SHORT).join(sig, "node").select("grp", "rank", "node", "side", "sig")
     long = long.repartition(partitions(spark), "grp").sortWithinPartitions("grp")
-    active = stage(short.unionByName(long.mapInArrow(_collisions(shared, need), "grp long, node long, side int, rank long")))
-
-    marks = active.join(nodes.select("node", "first"), "node").select(F.expr("node ^ shiftleft(coalesce(first, 0L), 17)").alias("k"))
-    bits = spark.sparkContext.broadcast(bitmap(marks, "k"))
-    sets = docs.mapInArrow(_sets(words, bits), "node long, shingles binary")
-    sets = sets.join(active.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
-    full = active.distinct().join(sets, "node").join(sig, "node").repartition(partitions(spark), "grp").sortWithinPartitions("grp")
-    edges = full.mapInArrow(_confirmed(shared, need, percent), "u long, v long")
+    edges = confirmed(short.unionByName(long.mapInArrow(_collisions(shared, need), "grp long, node long, side int, rank long")))
+    if found is not None:
+        edges = edges.unionAll(found)
 
     roots = components(edges)
     named = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -615,6 +615,8 @@ def test_raking_meets_the_targets(spark):
     for d, want in targets.items():
         for r in want.collect():
             assert abs(sum(x["weight"] for x in rows if x[d] == r[0]) / total - r[1]) < 1e-6
+    for r in mixing.residuals(spark.createDataFrame(rows), targets).collect():
+        assert abs(r["share"] - r["reached"]) < 1e-6
 
 
 def test_mixing_empty(empty):
@@ -759,3 +761,23 @@ def test_tokens_are_gathered_whole():
         want += [(x[k] * n + x[k + 1]) * n + x[k + 2] for k in range(len(t))]
     for most in (None, 50):
         assert np.concatenate(list(language._gathered([batch.slice(0, 13), batch.slice(13)], slots, most))).tolist() == want[:most]
+
+
+@pytest.mark.parametrize("loose", [0, 3, 40])
+def test_near_duplicates_of_a_family_around_a_text(spark, monkeypatch, loose):
+    """A family that spans many blocks and is linked through its pivots, a chain that hangs on
+    it by one member only, and sets that share its rare values without being alike."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "RARE", 4)
+    base, rows = prose(9, 150).split(), []
+    for i in range(90):
+        w = list(base)
+        w[random.Random(i).randrange(len(w))] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    w = list(base)
+    for i in range(12):
+        w = [*w[4:], f"q{i}", f"r{i}", f"s{i}", f"t{i}"]
+        rows.append((200 + i, " ".join(w)))
+    rows += [(300 + i, " ".join(base[i : i + 100] + prose(i, 60, 10**6).split())) for i in range(loose)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows, 3, 85)
