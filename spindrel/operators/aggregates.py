@@ -29,6 +29,22 @@ def ordered_distinct(df: DataFrame, keys: list[str], value: str, seq: str) -> Da
     return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_s", value))), lambda x: x[value]).alias(value))
 
 
+def gathered(df: DataFrame, keys: list[str], values: dict[str, Column], seq: str, *, many: dict[str, Column] | None = None, common_first: bool = False) -> DataFrame:
+    """(keys, an array for each name): distinct values of several columns in one pass, in order
+    of first sight, or most common first. Columns of `many` are arrays of values."""
+    def named(kind):
+        return lambda x: F.struct(F.lit(kind).alias("kind"), x.cast("string").alias("v"))
+
+    pairs = F.array(*(named(k)(c) for k, c in values.items()))
+    for k, c in (many or {}).items():
+        pairs = F.concat(pairs, F.transform(F.coalesce(c, F.expr("cast(array() as array<string>)")), named(k)))
+    each = df.select(*keys, F.col(seq).alias("_s"), F.explode(pairs).alias("_p")).where("_p.v is not null")
+    each = each.groupBy(*keys, F.col("_p.kind").alias("_kind"), F.col("_p.v").alias("_v")).agg(F.count("*").alias("_n"), F.min("_s").alias("_f"))
+    place = F.struct((-F.col("_n") if common_first else F.lit(0)).alias("n"), F.col("_f").alias("f"), F.col("_v").alias("v"))
+    lists = [F.transform(F.array_sort(F.collect_list(F.when(F.col("_kind") == k, place))), lambda x: x.v).alias(k) for k in (*values, *(many or {}))]
+    return each.groupBy(*keys).agg(*lists)
+
+
 def bucket(n_links: Column, n_live: Column, n_dead: Column, n_open: Column) -> Column:
     """Coverage of a thing by its links."""
     return F.when(n_links == 0, "no_links").when(n_open > 0, "unknown").when(n_dead == 0, "all_live").when(n_live == 0, "none_live").otherwise("partial")

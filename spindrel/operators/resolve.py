@@ -115,10 +115,8 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
     their own: seq is the order of first sight, in_order() that of the published tables."""
     rows = stage(keyed_rows(raw, r))  # read by every table below
     items = rows.groupBy("key").agg(F.min("seq").alias("seq"), F.min_by("base_key", "seq").alias("base_key"), F.min_by("scope", "seq").alias("scope"), F.min_by("base_product", "seq").alias("base_product"), F.min_by("machining", "seq").alias("machining"))
-    vote = lambda v, out: aggregates.majority_vote(rows, ["key"], v, "seq").select("key", F.col(v).alias(out))
-    lists = lambda v, out: aggregates.by_frequency(rows, ["key"], v, "seq").select("key", F.col(v).alias(out))
-    for part in (vote("name", "_name"), vote("cat", "category"), vote("standard", "best_standard"), lists("name", "aliases"), lists("cat", "categories"), lists("standard", "standards")):
-        items = items.join(part, "key", "left")
+    seen = aggregates.gathered(rows, ["key"], {"aliases": F.col("name"), "categories": F.col("cat"), "standards": F.col("standard")}, "seq", common_first=True)
+    items = items.join(seen, "key").withColumn("_name", F.get("aliases", 0)).withColumn("category", F.get("categories", 0)).withColumn("best_standard", F.get("standards", 0))
     items = items.join(r.names.select(F.col("key").alias("base_key"), F.col("name").alias("_wish")), "base_key", "left").withColumn("name", F.coalesce("_wish", "_name"))
     scope = F.when(F.col("scope").isNotNull(), F.concat(F.lit("."), "scope")).otherwise("")
     items = items.withColumn("_base", F.concat(text.slug(F.coalesce("category", F.lit("misc"))), F.lit("."), text.slug(F.col("name")), scope))
@@ -141,10 +139,8 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
     sources = linked.groupBy(*by).agg(
         F.min_by("canonical", "order").alias("url"), F.min_by(urls.is_affiliate(F.col("url"), F.col("label")), "order").alias("affiliate"), F.array_sort(F.collect_list(seen)).alias("seen"), F.min("order").alias("seq")
     )
-    affiliates = linked.select(*by, "order", F.explode("affiliate_urls").alias("affiliate_urls"))
-    for part, out in (("label", "labels"), ("role", "roles"), ("project", "projects"), ("url", "raw_urls")):
-        sources = sources.join(_list(linked.select(*by, part, "order"), by, part, "order").withColumnRenamed(part, out), by, "left")
-    sources = sources.join(_list(affiliates, by, "affiliate_urls", "order"), by, "left")
+    lists = {"labels": F.col("label"), "roles": F.col("role"), "projects": F.col("project"), "raw_urls": F.col("url")}
+    sources = sources.join(aggregates.gathered(linked, by, lists, "order", many={"affiliate_urls": F.col("affiliate_urls")}), by)
     vendors = raw.sparkSession.createDataFrame(dims.VENDORS, "suffix string, vendor_id string, vendor_name string")
     sources = joins.longest_suffix(sources.withColumn("host", urls.host_of(F.col("url"))), "host", vendors)
     if status is None:
@@ -166,8 +162,7 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
 
     plain = cells.where("(url is null or url = '') and label is not null")
     unlinked = plain.groupBy("key", "label").agg(F.min("order").alias("seq"))
-    for part, out in (("role", "roles"), ("project", "projects")):
-        unlinked = unlinked.join(_list(plain, ["key", "label"], part, "order").withColumnRenamed(part, out), ["key", "label"])
+    unlinked = unlinked.join(aggregates.gathered(plain, ["key", "label"], {"roles": F.col("role"), "projects": F.col("project")}, "order"), ["key", "label"])
     noted = rows.select("key", "project", "seq", F.explode("notes").alias("note")).withColumn("note", text.clean_text(F.col("note"))).where("note is not null")
     notes = noted.groupBy("key", "note").agg(F.min("seq").alias("seq")).join(_list(noted, ["key", "note"], "project", "seq").withColumnRenamed("project", "projects"), ["key", "note"])
     return Master(*map(stage, (items, uses, sources)), unlinked, notes)
