@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +21,18 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _forms(s: pa.Array, form: str) -> pa.Array:
+    return pa.array([x if x is None else unicodedata.normalize(form, x) for x in s.to_pylist()], pa.string())
+
+
 @F.arrow_udf(T.StringType())
 def _nfkc(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, form="NFKC")
+    return _forms(s, "NFKC")
 
 
 @F.arrow_udf(T.StringType())
 def _nfkd(s: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(s, form="NFKD")
+    return _forms(s, "NFKD")
 
 
 def _normal(c: Column, udf) -> Column:
