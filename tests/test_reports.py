@@ -9,7 +9,7 @@ from spindrel.functions import dims
 from spindrel.operators import reports, resolve, views
 from spindrel.sources import workbook
 
-A, B, OLD = dims.PROJECTS[0][0], dims.PROJECTS[1][0], "VORON 1.8"
+A, B, OLD = dims.PROJECTS[0][0], dims.PROJECTS[1][0], dims.PROJECTS[14][0]
 PA, PB, POLD = (next(p[1] for p in dims.PROJECTS if p[0] == s) for s in (A, B, OLD))
 
 
