@@ -1,10 +1,10 @@
-"""The ten operators as queries over the driver's tables."""
+"""The operators as queries over the driver's tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, minhash, mixing, pii, quality, secrets, substrings
+from . import chat, decontaminate, html, language, minhash, mixing, packing, pii, quality, secrets, substrings
 from .common import table
 
 
@@ -49,6 +49,13 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.scan(docs, owner="source", repo="repo")
 
 
+def op11_packing(spark, sf_dir):
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
@@ -60,6 +67,7 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_packing": op11_packing,
 }
 SQL: dict[str, str] = {
     "op5_preference_pairs": chat.NEIGHBOURS_SQL,
