@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, minhash, mixing, packing, pii, quality, secrets, substrings
+from . import chat, decontaminate, html, language, minhash, mixing, packing, phrases, pii, quality, secrets, substrings
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op11_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
@@ -68,8 +72,10 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_packing": op11_packing,
+    "op12_collocations": op12_collocations,
 }
 SQL: dict[str, str] = {
     "op5_preference_pairs": chat.NEIGHBOURS_SQL,
     "op9_mixing": mixing.calibrated_sql(),
+    "op12_collocations": phrases.COLLOCATIONS_SQL,
 }
