@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ GROUP_BYTES = 8 << 20
 #: Holes of fewer tokens are not filled.
 LEAST = 16
 #: Bytes of words and their ids that a Python worker remembers.
-REMEMBERED = 96 << 20
+REMEMBERED = 256 << 20
 #: Text bytes that are split into words at once.
 SLICE = 1 << 20
 #: Bytes of pieces that leave a task at once.
@@ -71,6 +72,9 @@ class Encoder:
         self.kind = np.dtype("<u2") if self.model.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.apart = _by_word(json.loads(spec))
         self.marks = [t["content"] for t in json.loads(spec)["added_tokens"]]
+        # what the splitter makes of a lower-case letter or sign; runs of these go straight to the model
+        alone = [c for c in map(chr, range(33, 256)) if _PLAIN.fullmatch(c) and c == c.lower()]
+        self.written = {ord(c): self.model.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in alone} if self.apart else {}
         self.words: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
         self.held = 0
@@ -78,18 +82,22 @@ class Encoder:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _run(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = array("H" if self.kind.itemsize == 2 else "I", [t.id for t in self.model.model.tokenize(run.translate(self.written))]).tobytes()
+            self.runs[run] = ids
+            self.held += len(run) + len(ids) + 160
+        return ids
+
     def _learn(self, words: list[bytes]) -> None:
-        runs = []
         for w in words:
             s = w.decode()
-            plain = _PLAIN.fullmatch(s) and not any(m in s for m in self.marks)
-            runs.append([x.lower() for x in _RUNS.findall(s)] if plain else [s])
-        new = list({r for x in runs for r in x}.difference(self.runs))
-        for r, ids in zip(new, self._encoded(new), strict=True):
-            self.runs[r] = ids
-            self.held += len(r) + len(ids) + 160
-        for w, x in zip(words, runs, strict=True):
-            self.words[w] = ids = b"".join([self.runs[r] for r in x])
+            if _PLAIN.fullmatch(s) and not any(m in s for m in self.marks):
+                ids = b"".join([self._run(x) for x in _RUNS.findall(s.lower())])
+            else:
+                ids = self._encoded([s])[0]
+            self.words[w] = ids
             self.held += len(w) + len(ids) + 160
 
     def _slices(self, raw: bytes) -> Iterator[bytes]:
