@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, minhash, mixing, packing, phrases, pii, quality, secrets, substrings
+from . import chat, decontaminate, html, language, minhash, mixing, packing, phrases, pii, quality, secrets, spelling, substrings
 from .common import table
 
 
@@ -60,6 +60,10 @@ def op12_collocations(spark, sf_dir):
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
@@ -73,6 +77,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_packing": op11_packing,
     "op12_collocations": op12_collocations,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 SQL: dict[str, str] = {
     "op5_preference_pairs": chat.NEIGHBOURS_SQL,
