@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import dims
@@ -106,5 +106,37 @@ def is_affiliate(url: Column, label: Column | None = None) -> Column:
     return by_url if label is None else F.coalesce(label.rlike("(?i)affi?li?ate"), F.lit(False)) | by_url
 
 
+def identified(df: DataFrame, url: str, *, key: str | None = None, canonical: str | None = None, affiliate: str | None = None, label: str | None = None, hops: int = 4) -> DataFrame:
+    """Adds, under the names given, url_key(), canonical_url() and is_affiliate() of a column. One
+    plain projection follows the other and nothing is nested, so the plan stays small, what
+    they share is computed once, and it runs as generated code."""
+    u, p, goal = F.col("_u"), F.col("_p"), F.col("_goal")
+    out = df.withColumn("_u", F.trim(F.col(url)))
+    for _ in range(hops):
+        out = out.withColumn("_p", F.when(authority(u).endswith("google.com") & path_of(u).startswith("/url"), params(u)))
+        at = lambda k: F.try_element_at(F.filter(p, lambda y: y.k == k), F.lit(-1)).v
+        out = out.withColumn("_goal", F.when(p.isNotNull(), F.coalesce(at("q"), at("url"))))
+        out = out.withColumn("_u", F.when(goal.isNotNull(), decoded(F.replace(goal, F.lit("+"), F.lit("%2B")))).otherwise(u))
+    out = out.withColumn("_p", params(u)).withColumn("_host", F.regexp_replace(authority(u), ":.*$", ""))
+    made = []
+    if affiliate:
+        marks = F.array(*map(F.lit, dims.AFFILIATE_KEYS))
+        by_url = F.coalesce(F.regexp_replace("_host", r"^www\.", "").isin(dims.AFFILIATE_HOSTS) | F.arrays_overlap(F.transform(p, lambda x: F.lower(x.k)), marks), F.lit(False))
+        by_url = by_url if label is None else F.coalesce(F.col(label).rlike("(?i)affi?li?ate"), F.lit(False)) | by_url
+        out, made = out.withColumn("_affiliate", by_url), [F.col("_affiliate").alias(affiliate)]
+    if key or canonical:
+        out = out.withColumn("_u", F.when(u.rlike(_SCHEME), u).otherwise(F.concat(F.lit("https://"), u)))
+        kept = F.array_sort(F.filter(p, lambda x: ~F.lower(x.k).isin(dims.TRACKING_KEYS)))
+        out = out.withColumns({"_host": F.regexp_replace(authority(u), ":.*$", ""), "_path": path_of(u), "_kept": F.array_join(F.transform(kept, lambda x: F.concat(encoded(x.k), F.lit("="), encoded(x.v))), "&")})
+        out = out.withColumn("_x", F.struct(F.col("_host").alias("host"), F.regexp_replace("_host", r"^www\.", "").alias("bare"), F.col("_path").alias("path"), F.col("_kept").alias("kept")))
+        there = F.coalesce(F.col(url), F.lit("")) != ""
+        made += [F.when(there, _canonical(F.col("_x"), True)).alias(canonical)] if canonical else []
+        made += [F.lower(F.when(there, _canonical(F.col("_x"), False))).alias(key)] if key else []
+    # by way of a generator, as a condition on the result would else be pushed through all steps,
+    # and written out in full at each
+    old = [c for c in df.columns if c not in (key, canonical, affiliate)]
+    return out.select(*old, F.inline_outer(F.array(F.struct(*made))))
+
+
 def is_short(url: Column) -> Column:
     return host_of(url).isin(dims.AFFILIATE_HOSTS)

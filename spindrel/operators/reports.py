@@ -173,8 +173,8 @@ def workload(raw: DataFrame, r: Rules) -> DataFrame:
     component is split by project only; elements of a set are (link or wording, role)."""
     rows = resolve.keyed_rows(raw, r)
     rows = rows.withColumn("key", F.when(F.col("split"), F.concat("base_key", F.lit(" @"), "project")).otherwise(F.col("base_key")))
-    cells = resolve.folded_cells(rows)
-    element = F.when(F.coalesce(F.col("url") != "", F.lit(False)), urls.url_key(F.col("url"))).otherwise(F.concat(F.lit("text:"), F.lower("label")))
+    cells = urls.identified(resolve.folded_cells(rows), "url", key="url_key")
+    element = F.when(F.coalesce(F.col("url") != "", F.lit(False)), F.col("url_key")).otherwise(F.concat(F.lit("text:"), F.lower("label")))
     cells = cells.select("seq", F.concat_ws("\t", element, text.role(F.col("slot"))).alias("link"), element.alias("e")).where("e is not null")
     uses = rows.select("key", "project", "name", "seq").join(cells.select("seq", "link"), "seq", "left")
     per = uses.groupBy("key", "project").agg(F.min_by("name", "seq").alias("name"))
@@ -195,7 +195,8 @@ def workload_totals(work: DataFrame) -> DataFrame:
 
 def link_totals(raw: DataFrame, m: Master) -> DataFrame:
     """(metric, value): link cells, distinct urls behind them, distinct products."""
-    cells = raw.join(resolve.projects(raw.sparkSession).select("sheet"), "sheet", "left_semi").select(F.explode("entries").alias("e")).where("e.url <> ''").select(urls.url_key(F.col("e.url")).alias("u"))
+    cells = raw.join(resolve.projects(raw.sparkSession).select("sheet"), "sheet", "left_semi").select(F.explode("entries").alias("e")).where("e.url <> ''").select(F.col("e.url").alias("u"))
+    cells = urls.identified(cells, "u", key="u")
     own = cells.agg(F.count("*").alias("cells"), F.count_distinct("u").alias("urls"))
     rows = own.select(F.explode(F.create_map(F.lit("link cells"), F.col("cells"), F.lit("distinct urls"), F.col("urls"))).alias("metric", "value"))
     return rows.unionByName(m.sources.agg(F.count_distinct("url").alias("value")).select(F.lit("distinct products").alias("metric"), "value"))

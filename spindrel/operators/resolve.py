@@ -132,12 +132,11 @@ def fold(raw: DataFrame, r: Rules, status: DataFrame | None = None) -> Master:
 
     cells = folded_cells(rows).withColumn("order", F.col("seq") * 100000 + F.col("head")).withColumn("role", text.role(F.col("slot")))
     cells = stage(cells)
-    linked = cells.where("url is not null and url <> ''").withColumn("url_key", urls.url_key(F.col("url"))).withColumn("canonical", urls.canonical_url(F.col("url")))
-    linked = stage(linked)
+    linked = stage(urls.identified(cells.where("url is not null and url <> ''"), "url", key="url_key", canonical="canonical", affiliate="marked", label="label"))
     seen = F.struct("order", "project", "sheet", "row", "cols", "slot")
     by = ["key", "url_key"]
     sources = linked.groupBy(*by).agg(
-        F.min_by("canonical", "order").alias("url"), F.min_by(urls.is_affiliate(F.col("url"), F.col("label")), "order").alias("affiliate"), F.array_sort(F.collect_list(seen)).alias("seen"), F.min("order").alias("seq")
+        F.min_by("canonical", "order").alias("url"), F.min_by("marked", "order").alias("affiliate"), F.array_sort(F.collect_list(seen)).alias("seen"), F.min("order").alias("seq")
     )
     lists = {"labels": F.col("label"), "roles": F.col("role"), "projects": F.col("project"), "raw_urls": F.col("url")}
     sources = sources.join(aggregates.gathered(linked, by, lists, "order", many={"affiliate_urls": F.col("affiliate_urls")}), by)
@@ -194,10 +193,11 @@ def failures(raw: DataFrame, r: Rules, m: Master, manual: DataFrame | None = Non
     spark = raw.sparkSession
     rows = raw.join(projects(spark).select("sheet", "project"), "sheet").withColumn("k", text.name_key(F.col("component")))
     rows = rows.join(r.drop.withColumnRenamed("key", "k"), "k", "left_anti")
-    links = rows.select(F.explode("entries").alias("e")).where("e.url is not null and e.url <> ''").select(urls.url_key(F.col("e.url")).alias("what")).distinct()
+    links = rows.select(F.explode("entries").alias("e")).where("e.url is not null and e.url <> ''").select(F.col("e.url").alias("u")).distinct()
+    links = urls.identified(links, "u", key="what").select("what").distinct()
     none = F.expr("cast(array() as array<string>)")
     kept = m.sources.select("url_key", F.explode(F.concat(F.array("url"), F.coalesce("affiliate_urls", none), F.coalesce("raw_urls", none))).alias("u"))
-    kept = kept.select(F.explode(F.array(F.col("url_key"), urls.url_key(F.col("u")))).alias("what")).distinct()
+    kept = urls.identified(kept.distinct(), "u", key="k").select(F.explode(F.array("url_key", "k")).alias("what")).distinct()
     named = rows.where("k is not null and k <> 'or' and not startswith(k, 'as an amazon') and not startswith(k, 'as an aliexpress')")
     spelled = m.items.select("key", F.explode(F.concat(F.array("name"), F.coalesce("aliases", none))).alias("n")).join(m.uses.select("key", "project"), "key").select(text.name_key(F.col("n")).alias("k"), "project")
     pairs = named.select("k", "project").distinct().join(spelled, ["k", "project"], "left_anti").select(F.concat_ws(" on ", "k", "project").alias("what"))

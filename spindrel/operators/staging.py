@@ -21,10 +21,17 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Writes `df` to the shared folder and reads it back: later steps neither compute it
     again nor carry its plan, and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)  # with the application
     return spark.read.schema(df.schema).parquet(path)

@@ -137,8 +137,16 @@ def grid(view: DataFrame) -> DataFrame:
     return result.unionByName(out(tail.where("warning is not null"), F.col("row"), F.col("last") + 2, F.col("warning"), fill=F.col("fill")))
 
 
-def _link_key(label: Column, url: Column) -> Column:
-    return F.when(F.coalesce(url != "", F.lit(False)), F.coalesce(urls.url_key(url), url)).otherwise(F.concat(F.lit("text:"), F.lower(F.trim(F.coalesce(label, F.lit(""))))))
+def _link_key(label: Column, url: Column, key: Column) -> Column:
+    return F.when(F.coalesce(url != "", F.lit(False)), F.coalesce(key, url)).otherwise(F.concat(F.lit("text:"), F.lower(F.trim(F.coalesce(label, F.lit(""))))))
+
+
+def _old_links(rows: DataFrame) -> DataFrame:
+    """(sheet, row, old): links of raw rows with their keys, in order; rows without any are left out."""
+    each = rows.select("sheet", "row", F.posexplode("entries").alias("n", "e")).where("coalesce(e.text, '') <> '' or coalesce(e.url, '') <> ''")
+    each = urls.identified(each.select("sheet", "row", "n", F.col("e.text").alias("label"), F.col("e.url").alias("url")), "url", key="url_key")
+    link = F.struct(_link_key(F.col("label"), F.col("url"), F.col("url_key")).alias("k"), F.coalesce("label", F.lit("")).alias("label"), F.coalesce("url", F.lit("")).alias("url"))
+    return reports._gather(each, ["sheet", "row"], link, [F.col("n")], "old")
 
 
 def redline(raw: DataFrame, r: Rules, m: Master) -> DataFrame:
@@ -173,14 +181,15 @@ def redline(raw: DataFrame, r: Rules, m: Master) -> DataFrame:
     ]
 
     # links of both sides by key; of equal new keys the last one's content stands at the first one's place
-    link = lambda l, u: F.struct(_link_key(l, u).alias("k"), F.coalesce(l, F.lit("")).alias("label"), F.coalesce(u, F.lit("")).alias("url"))
-    old = F.transform(F.filter("entries", lambda e: (F.coalesce(e.text, F.lit("")) != "") | (F.coalesce(e.url, F.lit("")) != "")), lambda e: link(e.text, e.url))
+    link = lambda l, u, k: F.struct(_link_key(l, u, k).alias("k"), F.coalesce(l, F.lit("")).alias("label"), F.coalesce(u, F.lit("")).alias("url"))
+    none = F.lit(None).cast("string")
     live = reports.live_links(m).select(F.col("key").alias("item"), "links")
     said = _by_project(m.unlinked, "label", "texts").withColumnRenamed("key", "item")
-    rows = rows.join(live, "item", "left").join(said, ["item", "project"], "left").withColumn("old", F.coalesce(old, F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")))
+    rows = rows.join(live, "item", "left").join(said, ["item", "project"], "left").join(_old_links(raw), ["sheet", "row"], "left")
+    rows = rows.withColumn("old", F.coalesce("old", F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")))
     new = F.concat(
-        F.coalesce(F.transform("links", lambda x: link(x.label, x.url)), F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")),
-        F.coalesce(F.transform("texts", lambda t: link(t, F.lit(None).cast("string"))), F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")),
+        F.coalesce(F.transform("links", lambda x: link(x.label, x.url, x.url_key)), F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")),
+        F.coalesce(F.transform("texts", lambda t: link(t, none, none)), F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")),
     )
     rows = rows.withColumn("new", F.when(edited, new).when(F.col("outcome") == "marker", F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")))
     rows = rows.withColumn("new", F.coalesce("new", F.expr("cast(array() as array<struct<k: string, label: string, url: string>>)")))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .staging import stage
 
 
 def carry_forward(df: DataFrame, part: str, order: list[str], value: str, resets: Column) -> DataFrame:
@@ -44,22 +48,76 @@ def slot_intervals(df: DataFrame, part: str, start: str, last: Column) -> DataFr
     return df.withColumn("end", F.coalesce(F.lead(start).over(Window.partitionBy(part).orderBy(start)) - 1, last))
 
 
+def _key(place) -> tuple:
+    return tuple(place.values()) if isinstance(place, dict) else tuple(place)
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("k", T.LongType()), T.StructField("kept", T.BooleanType())])))
+def _contested(children: pd.Series, firsts: pd.Series, taken: pd.Series) -> pd.Series:
+    """Per base, of its children (k, first row) by k: whether the child's first row comes to the
+    id base-k before the base's own rows (`firsts`, in order) get that far. Children that they
+    never reach are left out. `taken`: the base itself is another one's id already."""
+    out = []
+    for own, rows, gone in zip(children, firsts, taken, strict=True):
+        found, passed = [], int(gone)  # ids passed over so far, up to the child's
+        for child in own:
+            n = child["k"] - passed  # the row, from 1, that comes to this id
+            if n > len(rows):
+                break
+            kept = _key(child["first"]) < _key(rows[n - 1])
+            passed += kept
+            found.append({"k": child["k"], "kept": kept})
+        out.append(found)
+    return pd.Series(out)
+
+
 def numbered_ids(df: DataFrame, base: str, order: list[str]) -> DataFrame:
     """Adds id, unique: in order of first sight a base, or base-2, base-3 … where that is in
-    use, be it as another row's own base. Only bases that differ in trailing numbers can
-    meet; where such ones do repeat, they are numbered one after the other."""
+    use, be it as another row's own base.
+
+    The id base-k is wanted by two bases only: by `base` for one of its rows, and by the base
+    that is spelled base-k for its first. Which of them gets it depends on nothing else but
+    whether `base` is free itself, so contested bases are settled from the shortest on, all of
+    a length together, by the first rows of each; then an id is the row's number within its
+    base and the ids passed over before it, a running sum. Only the numbering of one base's
+    rows is in order; lists hold contested bases only."""
+    place = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)))
     n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    stem = F.regexp_replace(base, "(-[0-9]+)+$", "")
-    df = df.withColumn("_n", n).withColumn("_stem", stem)
-    each = df.groupBy("_stem", base).agg(F.count("*").alias("n")).groupBy("_stem").agg(F.count("*").alias("bases"), F.max("n").alias("most"))
-    row = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), F.col(base).alias("b"), F.col("_n").alias("n"))
-    tangled = df.join(each.where("bases > 1 and most > 1").select("_stem"), "_stem", "left_semi").groupBy("_stem").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    free = "filter(sequence(2, size(acc) + 2), k -> not exists(acc, y -> y.id = concat(x.b, '-', k)))[0]"
-    fold = f"""aggregate(rows, cast(array() as array<struct<b: string, n: int, id: string>>),
-      (acc, x) -> concat(acc, array(struct(x.b as b, x.n as n, if(exists(acc, y -> y.id = x.b), concat(x.b, '-', {free}), x.b) as id))))"""
-    given = tangled.select(F.explode(F.expr(fold)).alias("g")).select(F.col("g.b").alias(base), F.col("g.n").alias("_n"), F.col("g.id").alias("_id"))
-    plain = F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), F.col("_n").cast("string")))
-    return df.join(given, [base, "_n"], "left").select(*(c for c in df.columns if c not in ("_n", "_stem")), F.coalesce("_id", plain).alias("id"))
+    rows = stage(df.withColumn("_n", n))  # read by every step below
+    bases = rows.groupBy(F.col(base).alias("b")).agg(F.min(place).alias("first"), F.count("*").alias("rows"))
+    number = r"^(.*)-([2-9]|[1-9][0-9]{1,9})$"
+    children = bases.where(F.col("b").rlike(number)).select(F.regexp_extract("b", number, 1).alias("parent"), F.regexp_extract("b", number, 2).cast("long").alias("k"), "b", "first")
+    parents = bases.select(F.col("b").alias("parent"), F.col("rows").alias("_rows"))
+    links = stage(children.join(parents, "parent").withColumn("depth", F.size(F.regexp_extract_all("parent", F.lit("-[0-9]+"), F.lit(0)))).select("parent", "k", "b", "first", "depth", "_rows"))
+    depths = [r[0] for r in links.select("depth").distinct().orderBy("depth").collect()]  # how often "-number" stands in a base
+    settled = None
+    for depth in depths:
+        own = links.where(F.col("depth") == depth)
+        reach = own.groupBy("parent").agg(F.max("k").alias("reach"), F.array_sort(F.collect_list(F.struct("k", "first"))).alias("children"))
+        firsts = rows.join(reach.select(F.col("parent").alias(base), "reach"), base).where(F.col("_n") <= F.col("reach"))
+        firsts = firsts.groupBy(F.col(base).alias("parent")).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_n"), place.alias("p")))), lambda x: x.p).alias("firsts"))
+        gone = F.lit(False)
+        asked = reach.join(firsts, "parent")
+        if settled is not None:
+            lost = settled.where(~F.col("kept")).select(F.concat_ws("-", "parent", "k").alias("parent"), F.lit(True).alias("_gone"))
+            asked, gone = asked.join(lost, "parent", "left"), F.coalesce("_gone", F.lit(False))
+        found = asked.select("parent", F.explode(_contested("children", "firsts", gone)).alias("x")).select("parent", "x.k", "x.kept")
+        settled = stage(found if settled is None else found.unionByName(settled))
+    if settled is None:
+        passed = rows.withColumn("_passed", F.lit(0).cast("long"))
+    else:
+        # ids that a base passes over: its own where another has it, and those that children keep
+        over = settled.where("kept").select(F.col("parent").alias(base), "k").unionByName(settled.where(~F.col("kept")).select(F.concat_ws("-", "parent", "k").alias(base), F.lit(1).cast("long").alias("k")))
+        nth = F.row_number().over(Window.partitionBy(base).orderBy("k"))
+        over = over.select(base, (F.col("k") - nth + 1).cast("int").alias("_n"), F.lit(1).cast("long").alias("_one"))  # from this row on
+        marks = over.groupBy(base, "_n").agg(F.sum("_one").alias("_one"))
+        tangled = rows.join(marks.select(base).distinct(), base, "left_semi")
+        both = tangled.select(base, "_n", F.lit(0).cast("long").alias("_one"), F.lit(True).alias("_row")).unionByName(marks.withColumn("_row", F.lit(False)))
+        running = Window.partitionBy(base).orderBy("_n", "_row").rowsBetween(Window.unboundedPreceding, 0)
+        sums = both.withColumn("_passed", F.sum("_one").over(running)).where("_row").select(base, "_n", "_passed")
+        passed = rows.join(sums, [base, "_n"], "left").withColumn("_passed", F.coalesce("_passed", F.lit(0).cast("long")))
+    at = F.col("_n") + F.col("_passed")
+    return passed.select(*df.columns, F.when(at == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), at.cast("string"))).alias("id"))
 
 
 def primary_rows(df: DataFrame, part: list[str], row: str) -> DataFrame:

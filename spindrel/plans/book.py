@@ -3,15 +3,13 @@ catalogue rows; a rendered file that is scanned; views, redlines and summaries o
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import dims, text
 from ..operators import reports, views, windows
-from ..operators.staging import shared_folder, stage
+from ..operators.staging import delete, shared_folder, stage
 from ..sources import workbook
 from . import fold, links, master
 from .links import table
@@ -59,12 +57,13 @@ def workbook_layout(spark, sf_dir):
     return workbook.slots(parts(spark, sf_dir)).select("sheet", "start", "end", "slot", "kind")
 
 
-def _local_file(spark) -> str:
-    """A place for one file that the driver writes; it is shared where there is a cluster."""
-    shared = shared_folder(spark)
-    folder = shared.removeprefix("file://") if shared.startswith("file://") else tempfile.mkdtemp(prefix="spindrel-")
-    os.makedirs(folder, exist_ok=True)
-    return f"{folder}/book-{uuid.uuid4().hex}.xlsx"
+def _read_back(spark, grid, *widths):
+    """The parts of a workbook that was rendered into the shared folder."""
+    path = f"{shared_folder(spark)}/book-{uuid.uuid4().hex}.xlsx"
+    workbook.render(grid, path, *widths)
+    parts = stage(workbook.scan(spark, path))
+    delete(spark, path)
+    return parts
 
 
 def workbook_file(spark, sf_dir):
@@ -73,10 +72,7 @@ def workbook_file(spark, sf_dir):
     url = F.when((F.col("col") == 4) & (F.col("row") > 1), F.concat(F.lit("https://q.example/?a="), F.col("value"), F.lit('&b="')))
     fill = F.when((F.col("col") == 1) & (F.col("row") > 1), F.concat(F.lit("FF0000"), F.substring(F.md5("value"), 1, 2)))
     grid = cells.select("sheet_index", "sheet", "row", "col", "value", url.alias("url"), F.upper(fill).alias("fill"), (F.col("row") == 1).alias("bold"))
-    path = _local_file(spark)
-    workbook.render(grid, path)
-    scanned = stage(workbook.scan(spark, "file://" + path).where("kind = 'cell'"))
-    os.remove(path)
+    scanned = _read_back(spark, grid).where("kind = 'cell'")
     link = workbook.cell_link(F.col("formula"), F.col("value"), F.col("link"))
     return scanned.select("sheet", "row", "col", link["text"].alias("text"), link["url"].alias("url"), "fill")
 
@@ -116,6 +112,29 @@ def fold_redline_summary(spark, sf_dir):
     return views.summary(red, "outcome")
 
 
+def redline_file(spark, sf_dir):
+    """A rendered redline as its scan finds it: the texts before and after of component,
+    standard, quantity and size, put together from the runs of their cells, and the widths of
+    columns (row 0: width, and the last column that has it)."""
+    red = views.redline(fold.raw(spark, sf_dir), fold._rules(spark), fold.master(spark, sf_dir))
+    parts = _read_back(spark, views.redline_grid(red), views.WIDTHS, views.WIDTH)
+    side = lambda mark: F.expr(f"array_join(transform(array_sort(collect_list(if(coalesce(formula, '') <> '{mark}', struct(row1, value), null))), x -> x.value), '')")
+    runs = parts.where("kind = 'run'").groupBy("sheet", "row", "col").agg(side("bold").alias("before"), side("strike").alias("after"))
+    cells = parts.where("kind = 'cell' and row > 1 and col between 3 and 6").select("sheet", "row", "col", "value").join(runs, ["sheet", "row", "col"], "left")
+    cells = cells.select("sheet", "row", "col", F.coalesce("before", "value").alias("before"), F.coalesce("after", "value").alias("after"))
+    widths = parts.where("kind = 'column'").select("sheet", F.lit(0).alias("row"), "col", F.col("value").alias("before"), F.col("col1").cast("string").alias("after"))
+    return cells.unionByName(widths)
+
+
+def about_file(spark, sf_dir):
+    """The first sheet of the rendered tab views as its scan finds it, and how many cells the other sheets have."""
+    view = stage(views.tab_view(fold.raw(spark, sf_dir), fold._rules(spark), fold.master(spark, sf_dir), fold.status(spark, sf_dir)))
+    parts = _read_back(spark, views.grid(view).unionByName(views.about(view)), views.WIDTHS, views.WIDTH, {views.ABOUT: views.ABOUT_WIDTHS})
+    first = parts.where(F.col("sheet") == views.ABOUT).where("kind in ('cell', 'column')").select("sheet", "kind", "row", "col", "value")
+    names = parts.where(F.col("sheet") != views.ABOUT).where("kind = 'cell' and col = 2 and row > 1").groupBy("sheet").agg(F.count("*").cast("string").alias("value"))
+    return first.unionByName(names.select("sheet", F.lit("names").alias("kind"), F.lit(None).cast("int").alias("row"), F.lit(2).alias("col"), "value"))
+
+
 def verdict_counts(spark, sf_dir):
     """How many pages have each verdict."""
     return reports.tally(links.page_verdicts(spark, sf_dir), "verdict")
@@ -138,7 +157,7 @@ def slug_collisions(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    workbook_rows, workbook_layout, workbook_file, category_fills, fold_tab_view, fold_view_summary, fold_redline, fold_redline_summary, verdict_counts, affiliate_tally, number_formats, slug_collisions,
+    workbook_rows, workbook_layout, workbook_file, category_fills, fold_tab_view, fold_view_summary, fold_redline, fold_redline_summary, redline_file, about_file, verdict_counts, affiliate_tally, number_formats, slug_collisions,
 )}
 
 _SHEETS = f"tabs(t, sheet) as (values {fold._values([(i, p[0]) for i, p in enumerate(dims.PROJECTS)])})"
@@ -169,9 +188,9 @@ v2 as (select *, kind = 'or' and coalesce(lag(kind) over (partition by sheet ord
 v3 as (select *, case category when 'SMALL' then 'FF111111' when 'LARGE' then 'FF222222' when 'Hotend' then 'FF333333' end as own_fill from v2 where not twice),
 view as (select *, row_number() over (partition by sheet order by place, n, kind <> 'part', name) as position, case when kind = 'or' then coalesce(own_fill, last_value(case when kind = 'part' then own_fill end ignore nulls) over (partition by sheet order by place, n, kind <> 'part', name rows between unbounded preceding and 1 preceding)) else own_fill end as fill from v3)"""
 _RED = f"""{fold._ALL}, {_KEPT},
-x as (select r2.sheet, r2.project, r2.row, r2.seq, p_size, off, r2.name, r2.standard, case when not off then spell.item end as item, case seq % 5 when 2 then '250' when 3 then '300' when 4 then null when 0 then null else 'All' end as size from r2 left join spell using (nk)),
+x as (select r2.sheet, r2.project, r2.row, r2.seq, p_size, case seq % 6 when 0 then p_size::varchar when 1 then p_size::varchar when 2 then 'as needed' when 3 then '2-4' when 5 then '2.5' end as old_qty, off, r2.name, r2.standard, case when not off then spell.item end as item, case seq % 5 when 2 then '250' when 3 then '300' when 4 then null when 0 then null else 'All' end as size from r2 left join spell using (nk)),
 y as (select *, case when item is not null then min(row) over (partition by sheet, item, coalesce(size, '')) end as top from x),
-red as (select y.sheet, y.row, y.name, y.standard, y.size, y.p_size, items.name as new_name, items.best_standard as new_standard, case when p_size = 50 then 'separator' when off then 'marker' when item is null then 'removed'
+red as (select y.sheet, y.row, y.project, y.item, y.old_qty, y.name, y.standard, y.size, y.p_size, items.name as new_name, items.best_standard as new_standard, case when p_size = 50 then 'separator' when off then 'marker' when item is null then 'removed'
   when uses.key is not null and top <> row then 'merged' else 'edited' end as outcome from y left join items on items.key = y.item left join uses on uses.key = y.item and uses.project = y.project)"""
 
 SQL = {
@@ -195,6 +214,23 @@ select p_type as category, w.fill, count(*) filter (m.fill <> w.fill) as n_clash
 case when outcome = 'edited' then new_name when outcome = 'marker' then (case p_size when 48 then '' when 49 then 'As an Amazon associate we earn' else name end) else '' end as name_after,
 case when outcome in ('edited', 'merged') then coalesce(standard, '') else '' end as standard_before, case when outcome = 'edited' then coalesce(new_standard, '') else '' end as standard_after,
 case when outcome in ('edited', 'merged') then coalesce(size, '') else '' end as size_before, case when outcome = 'edited' then coalesce(size, '') else '' end as size_after from red""",
+    "redline_file": f"""{_RED}, qf as (select key, project, size, arg_min(qty, seq) as qty from q where qty is not null group by all),
+e as (select red.*, case when outcome in ('edited', 'merged') then old_qty end as qty_before, case when outcome = 'edited' then coalesce(qf.qty, old_qty) end as qty_after from red
+  left join qf on qf.key = red.item and qf.project = red.project and qf.size = coalesce(red.size, 'All')),
+t as (select sheet, row::int as row, unnest([3, 4, 5, 6]) as col,
+  unnest([case p_size when 48 then '' when 49 then 'As an Amazon associate we earn' when 50 then 'or' else coalesce(name, '') end, case when outcome in ('edited', 'merged') then standard end, qty_before, case when outcome in ('edited', 'merged') then size end]) as before,
+  unnest([case when outcome = 'edited' then new_name when outcome = 'marker' then (case p_size when 48 then '' when 49 then 'As an Amazon associate we earn' else name end) end, case when outcome = 'edited' then new_standard end, qty_after, case when outcome = 'edited' then size end]) as after from e)
+select sheet, row, col, coalesce(before, '') as before, coalesce(after, '') as after from t where coalesce(before, '') <> '' or coalesce(after, '') <> ''
+union all select sheet, 0, unnest([1, 2, 3, 4, 5, 6]), unnest(['18', '44', '14', '10', '10', '30']), unnest(['1', '2', '3', '4', '5', '16384']) from tabs where sheet in (select sheet from red)""",
+    "about_file": f"""{_VIEW}, n as (select *, case when links = '' then 0 else len(string_split(links, ' | ')) end as nl, case when texts = '' then 0 else len(string_split(texts, ' | ')) end as nt from view),
+s as (select sheet, count(*) filter (kind = 'part') as rows, max(nl + nt) as slots, count(*) filter (kind = 'part' and nl = 0) as without, count(*) filter (kind = 'part' and warning is not null) as loss from n group by 1),
+a as (select 8 + t as row, [project_name, project_status, rows::varchar, slots::varchar, without::varchar, loss::varchar] as v from s join tabs using (sheet)
+  union all select 7, ['Tab', 'Status', 'Rows', 'Vendor slots', 'Rows without live link', 'Rows that lost links']
+  union all select unnest([1, 3, 4, 5]), unnest([['Sourcing guide, rebuilt'], ['Names are the shared ones, so a part reads the same on every tab.'], ['Every live link of a component is listed on all its tabs; dead ones are left out.'],
+    ['The last column says what a row lost. A row without vendor had dead links only.']]))
+select 'About' as sheet, 'cell' as kind, row::int as row, i::int as col, v[i] as value from (select row, v, unnest(range(1, len(v) + 1)) as i from a)
+union all select 'About', 'column', null, unnest([1, 2, 3, 4, 5, 6]), unnest(['26', '21', '21', '21', '21', '21'])
+union all select sheet, 'names', null, 2, count(name)::varchar from view group by sheet""",
     "fold_redline_summary": f"{_RED} select sheet, outcome, count(*) as n from red group by 1, 2",
     "verdict_counts": f"select verdict, count(*) as n from ({links.SQL['page_verdicts']}) group by 1",
     "affiliate_tally": f"select verdict, count(*) as n from ({master.SQL['report_affiliates']}) group by 1",

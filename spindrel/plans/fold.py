@@ -5,10 +5,13 @@ states by number."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import dims
 from ..operators import reports, resolve
+from ..operators.staging import stage
 from .links import table
 
 SHOP, SHOP_ID, SHOP_NAME = dims.VENDORS[13]
@@ -69,8 +72,17 @@ def _rules(spark):
     return resolve.rules(spark, SPEC)
 
 
+_made: dict[tuple[str, str], resolve.Master] = {}
+
+
 def master(spark, sf_dir) -> resolve.Master:
-    return resolve.fold(raw(spark, sf_dir), _rules(spark), status(spark, sf_dir))
+    """The master tables, folded once for an application and a folder; they lie in the shared
+    folder until the application ends."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _made:
+        m = resolve.fold(raw(spark, sf_dir), _rules(spark), status(spark, sf_dir))
+        _made[key] = replace(m, unlinked=stage(m.unlinked), notes=stage(m.notes))
+    return replace(_made[key])
 
 
 def _joined(df, *lists, sep=" | "):

@@ -48,11 +48,11 @@ keyed as (select page_id, sighting, url, host, regexp_replace(host, '^www\.', ''
 
 def url_canonical(spark, sf_dir):
     o = observations(spark, sf_dir).select("page_id", "sighting", "url")
-    return o.select("page_id", "sighting", urls.host_of(F.col("url")).alias("host"), urls.canonical_url(F.col("url")).alias("canonical"), urls.url_key(F.col("url")).alias("url_key"))
+    return urls.identified(o.withColumn("host", urls.host_of(F.col("url"))), "url", key="url_key", canonical="canonical").select("page_id", "sighting", "host", "canonical", "url_key")
 
 
 def url_key_dedup(spark, sf_dir):
-    o = observations(spark, sf_dir).select("page_id", "sighting", "url").withColumn("url_key", urls.url_key(F.col("url")))
+    o = urls.identified(observations(spark, sf_dir).select("page_id", "sighting", "url"), "url", key="url_key")
     seq = F.col("page_id") * 2 + F.col("sighting")
     return o.groupBy("url_key").agg(F.min_by("url", seq).alias("url"), F.count("*").alias("n_sightings"), F.count_distinct("url").alias("n_spellings"))
 
@@ -86,7 +86,7 @@ def page_verdicts(spark, sf_dir):
 
 def link_coverage_by_host(spark, sf_dir):
     """Observations, deduplicated by url key, judged, rolled up to hosts and bucketed."""
-    j = _judged(spark, sf_dir).withColumn("url_key", urls.url_key(F.col("url")))
+    j = urls.identified(_judged(spark, sf_dir), "url", key="url_key")
     first = j.groupBy("url_key").agg(F.min_by(F.struct("url", "verdict"), F.col("page_id") * 2 + F.col("sighting")).alias("x"))
     return aggregates.coverage(first.select(urls.host_of(F.col("x.url")).alias("host"), F.col("x.verdict").alias("status")), ["host"], "status")
 
@@ -99,7 +99,7 @@ def worklist_hosts(spark, sf_dir):
 
 def url_targets(spark, sf_dir):
     """Url to the set of item ids that name it."""
-    o = observations(spark, sf_dir).select("page_id", "url").withColumn("url_key", urls.url_key(F.col("url")))
+    o = urls.identified(observations(spark, sf_dir).select("page_id", "url"), "url", key="url_key")
     return o.groupBy("url_key").agg(F.array_join(F.transform(F.array_sort(F.collect_set("page_id")), lambda x: x.cast("string")), ",").alias("items"))
 
 

@@ -35,6 +35,8 @@ def chrome():
 class BrowserGetter:
     """get(url, cookie) through one browser per Python worker, opened at the first request."""
 
+    workers = 1
+
     def __init__(self, start=chrome, settle: float = SETTLE):
         self.start, self.settle, self.driver = start, settle, None
 
@@ -49,3 +51,21 @@ class BrowserGetter:
         while not (self.driver.title or "").strip() and time.monotonic() < until:
             time.sleep(LOOK)
         return self.driver.current_url, document_status(self.driver.get_log("performance")), self.driver.page_source.encode(), "utf-8"
+
+
+class ChromeSession:
+    """A browser window for a person to solve bot checks in (handover.solve)."""
+
+    def __init__(self, start=chrome):
+        self.start, self.driver = start, None
+
+    def open(self, url: str) -> None:
+        if self.driver is None:
+            self.driver = self.start()
+        self.driver.get(url)
+
+    def page(self) -> tuple[str, str]:
+        return self.driver.current_url, self.driver.page_source
+
+    def cookies(self) -> list[dict]:
+        return self.driver.get_cookies()

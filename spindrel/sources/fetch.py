@@ -1,15 +1,20 @@
 """Pages over HTTP: one request at a time per host, spaced in time, then judged and confirmed.
 
 The getter is a parameter: `get(url, cookie)` returns (final_url, code, body bytes, charset or
-None), or raises. All urls of a host are in one task, whatever their number, as the host
-sets the pace; replies leave the task a few at a time.
+None), or raises. All urls of a host are in one task, as the host sets the pace, and in turns
+with those of the task's other hosts: a heap of hosts by the time they may next be asked
+decides whose turn it is, several requests to different hosts are under way at once, and the task
+is idle only while every host it knows of has to wait. Replies leave it a few at a time.
 """
 
 from __future__ import annotations
 
+import heapq
 import random
 import time
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from urllib.error import HTTPError
 from urllib.request import Request, urlopen
 
@@ -26,8 +31,11 @@ DELAY, SLOW_DELAY, JITTER, TIMEOUT, BODY = 1.5, 3.0, 0.4, 25, 400_000
 EVERY = 20
 #: Replies that leave a task together (bodies may be BODY bytes each).
 BATCH = 16
+#: Requests of a task under way at once, and its links that wait in turn.
+WORKERS, WINDOW = 6, 1024
 #: Refusals in a row after which a host is left alone.
 PATIENCE = 5
+REFUSES, WALL = "host refuses automated requests", "bot check or login wall"
 REPLY = "url string, final_url string, code int, body string, error string, checked_at timestamp"
 Getter = Callable[[str, str | None], tuple[str, int, bytes, str | None]]
 
@@ -58,34 +66,89 @@ def _decoded(body: bytes, charset: str | None) -> str:
         return body[:BODY].decode("utf-8", "replace")
 
 
-def _requests(get: Getter, delay: float, slow: dict[str, float], jitter: float, patience: int):
+def asked(get: Getter, url: str, cookie: str | None) -> tuple:
+    """(final_url, code, body, error) of a url."""
+    try:
+        final, code, raw, charset = get(url, cookie)
+        return final, code, _decoded(raw, charset), None
+    except Exception as e:  # noqa: BLE001 - any failure is a result of its url
+        return None, None, None, _error(e)
+
+
+def paced(links: Iterator[tuple], ask: Callable, delay: Callable[[str], float], *, patience: int = PATIENCE, workers: int = WORKERS, window: int = WINDOW, clock=time.monotonic, sleep=time.sleep) -> Iterator[tuple]:
+    """(url, *ask(url, cookie)) of (url, host, cookie) links, as answers come. Between the end of
+    a request to a host and the next one to it lie delay(host) seconds; other hosts are asked
+    meanwhile, `workers` at most at once. After `patience` refusals in a row a host is left alone."""
+    ready: list[tuple[float, int, str]] = []  # a heap of (time allowed, order of arrival, host)
+    todo: dict[str, deque] = {}  # links of hosts that are waiting or under way
+    state: dict[str, tuple[float, int]] = {}  # time allowed and refusals in a row
+    under_way: dict = {}
+    waiting = arrived = 0
+    more = True
+
+    def done(host: str, url: str, answer: tuple):
+        nonlocal arrived
+        refused = state.get(host, (0.0, 0))[1] + 1 if answer[1] in (403, 429) else 0
+        state[host] = (clock() + delay(host), refused)
+        if todo[host]:
+            arrived += 1
+            heapq.heappush(ready, (state[host][0], arrived, host))
+        else:
+            del todo[host]
+        return (url, *answer)
+
+    with ThreadPoolExecutor(workers) as pool:
+        while True:
+            while more and waiting < window:
+                link = next(links, None)
+                if link is None:
+                    more = False
+                    break
+                url, host, cookie = link
+                waiting += 1
+                if host in todo:
+                    todo[host].append((url, cookie))
+                else:
+                    todo[host] = deque([(url, cookie)])
+                    arrived += 1
+                    heapq.heappush(ready, (state.get(host, (float("-inf"), 0))[0], arrived, host))
+            if ready and len(under_way) < workers and (ready[0][0] <= clock() or state.get(ready[0][2], (0.0, 0))[1] >= patience):
+                host = heapq.heappop(ready)[2]
+                url, cookie = todo[host].popleft()
+                waiting -= 1
+                if state.get(host, (0.0, 0))[1] >= patience:
+                    yield url, None, None, None, REFUSES
+                    if todo[host]:
+                        arrived += 1
+                        heapq.heappush(ready, (float("-inf"), arrived, host))
+                    else:
+                        del todo[host]
+                elif workers == 1:
+                    yield done(host, url, ask(url, cookie))
+                else:
+                    under_way[pool.submit(ask, url, cookie)] = host, url
+            elif under_way:
+                pause = max(0.0, ready[0][0] - clock()) if ready and len(under_way) < workers else None
+                for f in wait(under_way, pause, FIRST_COMPLETED).done:
+                    yield done(*under_way.pop(f), f.result())
+            elif ready:
+                sleep(ready[0][0] - clock())
+            else:
+                return
+
+
+def _requests(get: Getter, delay: float, slow: dict[str, float], jitter: float, patience: int, workers: int):
     columns = [c.split()[0] for c in REPLY.split(", ")]
 
     def run(frames):
-        last: dict[str, float] = {}
-        host, refused, held = None, 0, []
-        for frame in frames:
-            for url, at, cookie in zip(frame["url"], frame["host"], frame["cookie"], strict=True):
-                if at != host:  # sorted by host: nothing of an earlier one comes back
-                    host, refused, last = at, 0, {}
-                final, code, body, error = None, None, None, None
-                if refused >= patience:
-                    error = REFUSES
-                else:
-                    wait = slow.get(at, delay) - (time.monotonic() - last.get(at, float("-inf")))
-                    if wait > 0:
-                        time.sleep(wait + random.uniform(0, jitter))
-                    try:
-                        final, code, raw, charset = get(url, cookie)
-                        body = _decoded(raw, charset)
-                    except Exception as e:  # noqa: BLE001 - any failure is a result of its url
-                        error = _error(e)
-                    last[at] = time.monotonic()
-                    refused = refused + 1 if code in (403, 429) else 0
-                held.append((url, final, code, body, error, pd.Timestamp.now("UTC")))
-                if len(held) == BATCH:
-                    yield pd.DataFrame(held, columns=columns).astype({"code": "Int32"})
-                    held = []
+        links = (row for frame in frames for row in zip(frame["url"], frame["host"], frame["cookie"], strict=True))
+        held = []
+        wait_of = lambda host: slow.get(host, delay) + random.uniform(0, jitter)
+        for answer in paced(links, lambda url, cookie: asked(get, url, cookie), wait_of, patience=patience, workers=workers):
+            held.append((*answer, pd.Timestamp.now("UTC")))
+            if len(held) == BATCH:
+                yield pd.DataFrame(held, columns=columns).astype({"code": "Int32"})
+                held = []
         if held:
             yield pd.DataFrame(held, columns=columns).astype({"code": "Int32"})
 
@@ -104,15 +167,17 @@ def cookie_of(links: DataFrame, cookies: DataFrame | None) -> DataFrame:
     return links.join(found, "host", "left")
 
 
-def fetch(links: DataFrame, get: Getter = http_get, *, cookies: DataFrame | None = None, delay: float = DELAY, slow: dict[str, float] | None = None, jitter: float = JITTER, patience: int = PATIENCE) -> DataFrame:
+def fetch(links: DataFrame, get: Getter = http_get, *, cookies: DataFrame | None = None, delay: float = DELAY, slow: dict[str, float] | None = None, jitter: float = JITTER, patience: int = PATIENCE, workers: int | None = None) -> DataFrame:
     """REPLY of every distinct url of `links`. `slow` has the delay of hosts that need another
-    one (by default SLOW_DELAY for the known ones). A failed request has its error and no
+    one (by default SLOW_DELAY for the known ones). A getter may say how many requests it can
+    have under way (`workers`). A failed request has its error and no
     code. Each evaluation asks again: write the result before it is used twice."""
     hosts = cookie_of(links.select("url").where("url <> ''").distinct().withColumn("host", F.coalesce(urls.host_of(F.col("url")), F.lit(""))), cookies)
     n = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = hosts.repartition(n, "host").sortWithinPartitions("host", "url").select("url", "host", "cookie")
+    turn = F.row_number().over(Window.partitionBy("host").orderBy("url"))  # a task meets the first link of every host first
+    placed = hosts.repartition(n, "host").withColumn("_turn", turn).sortWithinPartitions("_turn", "host").select("url", "host", "cookie")
     slow = dict.fromkeys(dims.SLOW_HOSTS, SLOW_DELAY) if slow is None else slow
-    return placed.mapInPandas(_requests(get, delay, slow, jitter, patience), REPLY)
+    return placed.mapInPandas(_requests(get, delay, slow, jitter, patience, workers or getattr(get, "workers", WORKERS)), REPLY)
 
 
 def _verdicts(replies: DataFrame) -> DataFrame:
@@ -122,14 +187,11 @@ def _verdicts(replies: DataFrame) -> DataFrame:
     return judged.select("url", F.coalesce("j.verdict", F.lit("maybe")).alias("status"), F.coalesce("j.reason", "error").alias("reason"), F.col("code").alias("http"), moved.alias("final_url"), "checked_at")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-REFUSES, WALL = "host refuses automated requests", "bot check or login wall"
-
-
 def check(links: DataFrame, path: str, get: Getter = http_get, *, every: int = EVERY, patience: int = PATIENCE, **options) -> DataFrame:
     """(url, status, reason, http, final_url, checked_at) of `links` (url). Hosts that are not
     to be asked are `maybe` at once. A `no` needs a second one; otherwise the second answer
@@ -140,7 +202,7 @@ def check(links: DataFrame, path: str, get: Getter = http_get, *, every: int = E
     called with the same path. A host that showed `patience` bot checks, or refused that many
     requests in a row, is not asked in the rounds that follow."""
     spark = links.sparkSession
-    if not _exists(spark, f"{path}/todo/_SUCCESS"):
+    if not exists(spark, f"{path}/todo/_SUCCESS"):
         todo = links.select("url").where("url <> ''").distinct().withColumn("reason", pages.unfetched(F.col("url"))).withColumn("host", F.coalesce(urls.host_of(F.col("url")), F.lit("")))
         n = F.row_number().over(Window.partitionBy("host", F.col("reason").isNull()).orderBy("url"))
         todo.withColumn("round", F.floor((n - 1) / every).cast("int")).write.mode("overwrite").parquet(f"{path}/todo")
@@ -150,7 +212,7 @@ def check(links: DataFrame, path: str, get: Getter = http_get, *, every: int = E
     null = lambda c, t: F.lit(None).cast(t).alias(c)
     for i in range(rounds):
         first, second = (f"{path}/{name}/round={i}" for name in ("first", "second"))
-        if not _exists(spark, f"{first}/_SUCCESS"):
+        if not exists(spark, f"{first}/_SUCCESS"):
             now = open_.where(F.col("round") == i)
             if i:
                 seen = spark.read.option("basePath", f"{path}/first").parquet(*(f"{path}/first/round={k}" for k in range(i)))
@@ -160,7 +222,7 @@ def check(links: DataFrame, path: str, get: Getter = http_get, *, every: int = E
                 now = now.join(shut, "host", "left_anti")
             answers = _verdicts(fetch(now, get, patience=patience, **options))
             (answers.unionByName(given_up) if i else answers).write.mode("overwrite").parquet(first)
-        if not _exists(spark, f"{second}/_SUCCESS"):
+        if not exists(spark, f"{second}/_SUCCESS"):
             doubt = spark.read.parquet(first).where("status = 'no'")
             _verdicts(fetch(doubt, get, patience=patience, **options)).write.mode("overwrite").parquet(second)
     first, second = (spark.read.parquet(f"{path}/{name}").drop("round").withColumn("attempt", F.lit(k)) for k, name in enumerate(("first", "second"), 1))

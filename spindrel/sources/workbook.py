@@ -1,146 +1,55 @@
-"""Spreadsheet workbooks (OOXML): scan of cells and merges, raw catalogue rows, rendering.
-
-A workbook is one zip file and is read by one task, sheet by sheet as a stream of rows;
-everything after that (headers, merges, links, carry-forward) is DataFrame work.
+"""Spreadsheet workbooks: scan of cells and merges, raw catalogue rows, rendering. The file
+itself is a data source (xlsx.py); headers, merges, links and carry-forward are DataFrame work.
 """
 
 from __future__ import annotations
 
-import io
-import posixpath
-import re
-import zipfile
-from collections.abc import Iterator
-from xml.etree import ElementTree
-from xml.sax.saxutils import escape, quoteattr
+import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import windows
+from ..operators.staging import stage
+from .xlsx import PARTS, WorkbookSource, column_letters, column_number
+
+__all__ = ["PARTS", "category_fills", "cell_link", "column_letters", "column_number", "raw_rows", "render", "scan", "slots"]
 
-#: kind is cell (row, col) or merge (row..row1, col..col1); formula has no leading "=".
-PARTS = "sheet_index int, sheet string, kind string, row int, col int, row1 int, col1 int, formula string, value string, link string, fill string"
-#: Rows that one batch of the scan holds.
-BATCH = 4096
 #: More than the rows of any sheet (1,048,576 by the format).
 SHEET_ROWS = 1 << 21
-_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-_PLACE = re.compile(r"([A-Z]+)([0-9]+)")
-
-
-def column_number(letters: str) -> int:
-    n = 0
-    for c in letters:
-        n = 26 * n + ord(c) - 64
-    return n
-
-
-def column_letters(n: int) -> str:
-    out = ""
-    while n:
-        n, r = divmod(n - 1, 26)
-        out = chr(65 + r) + out
-    return out
-
-
-def _span(ref: str) -> tuple[int, int, int, int]:
-    (c0, r0), (c1, r1) = (_PLACE.match(x.replace("$", "")).groups() for x in (ref.split(":") * 2)[:2])
-    return int(r0), column_number(c0), int(r1), column_number(c1)
-
-
-def _relations(z: zipfile.ZipFile, part: str) -> dict[str, str]:
-    """Relation id to target: a path inside the file, or an address outside it."""
-    folder, name = posixpath.split(part)
-    path = f"{folder}/_rels/{name}.rels"
-    if path not in z.namelist():
-        return {}
-    out = {}
-    for r in ElementTree.fromstring(z.read(path)):
-        target = r.get("Target")
-        outside = r.get("TargetMode") == "External"
-        out[r.get("Id")] = target if outside else target.lstrip("/") if target.startswith("/") else posixpath.normpath(f"{folder}/{target}")
-    return out
-
-
-def _plain(node) -> str:
-    """Text of a string item; phonetic readings are not part of it."""
-    return "".join(t.text or "" for child in node for t in ([child] if child.tag == _MAIN + "t" else child.iter(_MAIN + "t") if child.tag == _MAIN + "r" else []))
-
-
-def _fills(z: zipfile.ZipFile) -> list[str | None]:
-    """Solid fill colour by cell style."""
-    if "xl/styles.xml" not in z.namelist():
-        return []
-    root = ElementTree.fromstring(z.read("xl/styles.xml"))
-    colours = []
-    for f in root.iterfind(f"{_MAIN}fills/{_MAIN}fill/{_MAIN}patternFill"):
-        fg = f.find(_MAIN + "fgColor")
-        colours.append(fg.get("rgb") if f.get("patternType") not in (None, "none") and fg is not None else None)
-    return [colours[int(x.get("fillId", 0))] if int(x.get("fillId", 0)) < len(colours) else None for x in root.iterfind(f"{_MAIN}cellXfs/{_MAIN}xf")]
-
-
-def _value(c, strings: list[str]) -> str | None:
-    kind, v = c.get("t"), c.find(_MAIN + "v")
-    if kind == "inlineStr":
-        node = c.find(_MAIN + "is")
-        return _plain(node) if node is not None else None
-    if v is None or v.text is None:
-        return None
-    if kind == "s":
-        return strings[int(v.text)]
-    if kind == "b":
-        return "True" if v.text == "1" else "False"
-    return v.text
-
-
-def _scan(content: bytes) -> Iterator[tuple]:
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            strings = [_plain(s) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iterfind(_MAIN + "si")]
-        fills, places = _fills(z), _relations(z, "xl/workbook.xml")
-        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        for index, s in enumerate(book.iterfind(f"{_MAIN}sheets/{_MAIN}sheet")):
-            name, part = s.get("name"), places[s.get(_REL + "id")]
-            outside = _relations(z, part)
-            with z.open(part) as f:
-                for _, node in ElementTree.iterparse(f):
-                    if node.tag == _MAIN + "row":
-                        for c in node.iterfind(_MAIN + "c"):
-                            letters, row = _PLACE.match(c.get("r")).groups()
-                            style, formula = int(c.get("s", 0)), c.find(_MAIN + "f")
-                            fill = fills[style] if style < len(fills) else None
-                            yield index, name, "cell", int(row), column_number(letters), None, None, formula.text if formula is not None else None, _value(c, strings), None, fill
-                        node.clear()
-                    elif node.tag == _MAIN + "mergeCell":
-                        r0, c0, r1, c1 = _span(node.get("ref"))
-                        yield index, name, "merge", r0, c0, r1, c1, None, None, None, None
-                    elif node.tag == _MAIN + "hyperlink" and outside.get(node.get(_REL + "id")):
-                        r0, c0, r1, c1 = _span(node.get("ref"))
-                        yield index, name, "link", r0, c0, r1, c1, None, None, outside[node.get(_REL + "id")], None
+#: Cell styles that the format allows.
+MOST_STYLES = 64_000
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """The parts of one workbook (PARTS): cells with formula and stored value side by side,
-    merged ranges, and link targets. A sheet without cells gives no row."""
-    names = [c.split()[0] for c in PARTS.split(", ")]
+    """The parts of one workbook (PARTS), a partition per sheet: cells with formula and stored
+    value side by side, merged ranges, link targets, column widths and runs of rich text. A
+    sheet without any gives no row."""
+    spark.dataSource.register(WorkbookSource)
+    return spark.read.format("workbook").load(path)
 
-    def run(frames):
-        for frame in frames:
-            for content in frame["content"]:
-                rows = []
-                for row in _scan(bytes(content)):
-                    rows.append(row)
-                    if len(rows) == BATCH:
-                        yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
-                        rows = []
-                yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, PARTS)
+def render(grid: DataFrame, path: str, widths: list[float] = (), rest: float | None = None, by_sheet: dict[str, list[float]] | None = None) -> None:
+    """Write a cell grid (sheet_index, sheet, row, col, value, url, fill, bold; all but the
+    places may be null, and there may be runs: edit runs (op, text) of a cell) as a workbook.
+    `widths` are of the first columns, `rest` of all others, unless `by_sheet` has a sheet's
+    own. A url makes a link formula. Tasks write ranges of rows; sheets and styles only, which
+    the format bounds, reach the driver."""
+    spark = grid.sparkSession
+    spark.dataSource.register(WorkbookSource)
+    if "runs" not in grid.columns:
+        grid = grid.withColumn("runs", F.lit(None).cast("array<struct<op: string, text: string>>"))
+    rows = stage(grid.select("sheet_index", "sheet", "row", "col", "value", "url", "fill", F.coalesce("bold", F.lit(False)).alias("bold"), "runs"))
+    sheets = [list(r) for r in rows.groupBy("sheet_index").agg(F.min("sheet").alias("sheet")).orderBy("sheet_index").collect()]
+    found = [(r["fill"], r["bold"]) for r in rows.select("fill", "bold").distinct().limit(MOST_STYLES + 1).collect()]
+    if len(found) > MOST_STYLES:
+        raise ValueError("more cell styles than the format allows")
+    styles = [(None, False), *sorted((s for s in found if s != (None, False)), key=str)]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(n, "sheet_index", "row").sortWithinPartitions("sheet_index", "row", "col")
+    options = {"styles": styles, "sheets": sheets, "widths": list(widths), "rest": rest, "by_sheet": by_sheet or {}}
+    placed.write.format("workbook").mode("append").options(**{k: json.dumps(v) for k, v in options.items()}).save(path)
 
 
 # ---- fixed values: header -> kind of column; everything else is a vendor column
@@ -178,7 +87,7 @@ def cell_link(formula: Column, value: Column, target: Column) -> Column:
 def slots(parts: DataFrame) -> DataFrame:
     """(sheet, start, end, slot, kind): every header reaches to the one before the next."""
     cells = parts.where("kind = 'cell'")
-    width = parts.groupBy("sheet").agg(F.max(F.coalesce("col1", "col")).alias("_last"))
+    width = parts.where("kind in ('cell', 'merge', 'link')").groupBy("sheet").agg(F.max(F.coalesce("col1", "col")).alias("_last"))
     heads = cells.where("row = 1").select("sheet", F.col("col").alias("start"), tidy(F.col("value")).alias("_label"))
     corner = cells.select("sheet", F.lit(1).alias("start"), F.lit(None).cast("string").alias("_label")).distinct()  # column A is one, labelled or not
     heads = heads.unionByName(corner).groupBy("sheet", "start").agg(F.max("_label").alias("_label")).where("_label is not null or start = 1")
@@ -269,84 +178,3 @@ def category_fills(parts: DataFrame, precedence: list[str]) -> DataFrame:
     a = parts.where("kind = 'cell' and row > 1 and col = 1 and fill is not null and trim(value) <> ''").withColumn("rank", F.try_element_at(order, F.col("sheet"))).where("rank is not null")
     a = a.select(text.category(F.col("value")).alias("category"), "sheet", "fill", "rank", "row").where("category is not null")
     return pick_by_precedence(a, "category", "sheet", "fill", "rank", "row")
-
-
-def _sheet_name(name: str) -> str:
-    return re.sub(r"[\[\]:*?/\\]", " ", name)[:31]
-
-
-#: Fonts of rich text: words that were deleted and added.
-_RUN = {"del": '<rPr><strike/><color rgb="FF9B2C24"/></rPr>', "add": '<rPr><b/><color rgb="FF1E7B34"/></rPr>', "keep": ""}
-
-
-def _rich(runs) -> str:
-    return "".join(f'<r>{_RUN[x["op"]]}<t xml:space="preserve">{escape(x["text"])}</t></r>' for x in runs)
-
-
-def _columns(widths: list[float], rest: float | None) -> str:
-    """Column widths: of the first ones, and of all that follow."""
-    cols = [f'<col min="{i}" max="{i}" width="{w}" customWidth="1"/>' for i, w in enumerate(widths, 1)]
-    if rest is not None:
-        cols.append(f'<col min="{len(widths) + 1}" max="16384" width="{rest}" customWidth="1"/>')
-    return f"<cols>{''.join(cols)}</cols>" if cols else ""
-
-
-def render(grid: DataFrame, path: str, widths: list[float] = (), rest: float | None = None, by_sheet: dict[str, list[float]] | None = None) -> None:
-    """Write a cell grid (sheet_index, sheet, row, col, value, url, fill, bold; all but the
-    places may be null, and there may be runs: edit runs (op, text) of a cell) as a workbook at
-    a local path of the driver. `widths` are of the first columns, `rest` of all others, unless
-    `by_sheet` has a sheet's own. Rows are streamed in
-    order of place, so that memory is bounded by one sheet row and the distinct styles. A url
-    makes a link formula. A workbook is one file and one writer by its format."""
-    if "runs" not in grid.columns:
-        grid = grid.withColumn("runs", F.lit(None).cast("array<struct<op: string, text: string>>"))
-    rows = grid.select("sheet_index", "sheet", "row", "col", "value", "url", "fill", "bold", "runs").orderBy("sheet_index", "row", "col")
-    styles: dict[tuple[str | None, bool], int] = {(None, False): 0}
-    names: list[str] = []
-    ns = _MAIN[1:-1]
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        out, sheet, row = None, None, None
-        for r in rows.toLocalIterator():
-            if r["sheet_index"] != sheet:
-                if out:
-                    out.write(b"</row></sheetData></worksheet>")
-                    out.close()
-                sheet, row = r["sheet_index"], None
-                names.append(_sheet_name(r["sheet"]))
-                out = z.open(f"xl/worksheets/sheet{len(names)}.xml", "w")
-                own = _columns(by_sheet[r["sheet"]], None) if by_sheet and r["sheet"] in by_sheet else _columns(list(widths), rest)
-                out.write(f'<worksheet xmlns="{ns}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>{own}<sheetData>'.encode())
-            if r["row"] != row:
-                out.write((("</row>" if row is not None else "") + f'<row r="{r["row"]}">').encode())
-                row = r["row"]
-            style = styles.setdefault((r["fill"], bool(r["bold"])), len(styles))
-            value, formula = r["value"] or "", ""
-            if r["url"]:
-                url, label = (x.replace('"', '""') for x in (r["url"], r["value"] or r["url"]))
-                formula, value = f"<f>{escape(f'HYPERLINK("{url}","{label}")')}</f>", r["value"] or r["url"]
-            if r["runs"] and any(x["op"] != "keep" for x in r["runs"]) and not formula:
-                out.write(f'<c r="{column_letters(r["col"])}{row}" s="{style}" t="inlineStr"><is>{_rich(r["runs"])}</is></c>'.encode())
-                continue
-            shown = f't="str">{formula}<v>{escape(value)}</v>' if formula else f't="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is>' if value else ">"
-            out.write(f'<c r="{column_letters(r["col"])}{row}" s="{style}" {shown}</c>'.encode())
-        if out:
-            out.write(b"</row></sheetData></worksheet>")
-            out.close()
-        else:
-            names = ["Sheet1"]
-            z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{ns}"><sheetData/></worksheet>')
-        colours = sorted({f for f, _ in styles if f})
-        fill = {c: i + 2 for i, c in enumerate(colours)}  # the first two are reserved
-        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{ns}"><fonts count="2"><font/><font><b/></font></fonts><fills count="{len(colours) + 2}"><fill><patternFill patternType="none"/></fill>'
-                   '<fill><patternFill patternType="gray125"/></fill>' + "".join(f'<fill><patternFill patternType="solid"><fgColor rgb={quoteattr(c)}/></patternFill></fill>' for c in colours)
-                   + '</fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs>'
-                   + "".join(f'<xf fontId="{int(b)}" fillId="{fill.get(c, 0)}" applyFill="1" applyFont="1"/>' for c, b in styles) + "</cellXfs></styleSheet>")
-        rel, kinds = _REL[1:-1], "application/vnd.openxmlformats-officedocument.spreadsheetml"
-        office = "http://schemas.openxmlformats.org/package/2006"
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{office}/relationships">' + "".join(f'<Relationship Id="r{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
-                   + f'<Relationship Id="styles" Type="{rel}/styles" Target="styles.xml"/></Relationships>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{office}/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{office}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-                   f'<Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{kinds}.styles+xml"/>'
-                   + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{kinds}.worksheet+xml"/>' for i in range(1, len(names) + 1)) + "</Types>")

@@ -113,13 +113,13 @@ def test_tab_view(spark, made, tmp_path):
     assert rows[0]["warning"] == "some links were dead" and rows[3]["fill"] == "FF00FF00" and rows[4]["fill"] is None
     path = str(tmp_path / "view.xlsx")
     workbook.render(views.grid(view), path)
-    cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).collect()}
+    cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).where("kind = 'cell'").collect()}
     assert cells[(A, 2, 2)]["value"] == "M3x8 SHCS" and cells[(A, 2, 2)]["fill"] == "FF00FF00" and cells[(A, 2, 6)]["formula"] == 'HYPERLINK("https://shop.com/a","Shop")'
     summary = {x["sheet"]: (x["rows"], x["slots"], x["without_link"], x["with_loss"]) for x in views.tab_summary(view).collect()}
     assert summary[A] == (4, 2, 0, 3) and summary[OLD] == (1, 1, 1, 0)
     book = str(tmp_path / "book.xlsx")
     workbook.render(views.grid(view).unionByName(views.about(view)), book, views.WIDTHS, views.WIDTH, {views.ABOUT: views.ABOUT_WIDTHS})
-    about = {(c["row"], c["col"]): c["value"] for c in workbook.scan(spark, book).where("sheet = 'About'").collect()}
+    about = {(c["row"], c["col"]): c["value"] for c in workbook.scan(spark, book).where("kind = 'cell' and sheet = 'About'").collect()}
     assert about[(7, 1)] == "Tab" and about[(8, 1)] == dims.PROJECTS[0][2] and about[(8, 3)] == "4"
     with zipfile.ZipFile(book) as z:
         sheets = [z.read(f"xl/worksheets/sheet{i}.xml").decode() for i in (1, 2)]
@@ -137,7 +137,7 @@ def test_redline(spark, made, tmp_path):
     with zipfile.ZipFile(path) as z:
         first = z.read("xl/worksheets/sheet1.xml").decode()
     assert "<strike/>" in first and '<t xml:space="preserve">SHCS</t>' in first
-    cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).collect()}
+    cells = {(c["sheet"], c["row"], c["col"]): c for c in workbook.scan(spark, path).where("kind = 'cell'").collect()}
     assert cells[(A, 4, 3)]["value"] == "M3x8 shcsSHCS" and cells[(A, 4, 7)]["fill"] == "FFF8D7DA" and cells[(A, 1, 3)]["value"] == "Component"
     assert {x["outcome"]: x["n"] for x in views.summary(df.where(df.sheet == A), "outcome").collect()} == {"edited": 3, "separator": 2, "merged": 1, "marker": 2}
     got = {x["row"]: x for x in df.where(df.sheet == A).collect()}

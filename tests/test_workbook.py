@@ -1,7 +1,7 @@
 import zipfile
 
 from spindrel.functions import dims
-from spindrel.sources import workbook
+from spindrel.sources import workbook, xlsx
 
 SHEET = dims.PROJECTS[0][0]
 GRID = "sheet_index int, sheet string, row int, col int, value string, url string, fill string, bold boolean"
@@ -93,5 +93,46 @@ def test_shared_strings_and_fills(spark, tmp_path):
             if n.endswith("sheet1.xml"):
                 data = data.replace(b't="inlineStr"><is><t xml:space="preserve">Component</t></is>', b't="s"><v>0</v>')
             dst.writestr(n, data)
-        dst.writestr("xl/sharedStrings.xml", f'<sst xmlns="{workbook._MAIN[1:-1]}"><si><r><t>Comp</t></r><r><t>onent</t></r><rPh sb="0" eb="1"><t>no</t></rPh></si></sst>')
+        dst.writestr("xl/sharedStrings.xml", f'<sst xmlns="{xlsx._MAIN[1:-1]}"><si><r><t>Comp</t></r><r><t>onent</t></r><rPh sb="0" eb="1"><t>no</t></rPh></si></sst>')
     assert workbook.scan(spark, again).where("sheet_index = 0 and row = 1").first()["value"] == "Component"
+
+
+def test_checksums_add_up():
+    import random
+    import zlib
+
+    r = random.Random(2)
+    for n, m in ((0, 0), (0, 5), (5, 0), (1, 1), (1000, 70_000), (3, 1 << 17)):
+        a, b = r.randbytes(n), r.randbytes(m)
+        assert xlsx.joined_crc(zlib.crc32(a), zlib.crc32(b), m) == zlib.crc32(a + b)
+
+
+def test_sheets_are_partitions_and_tasks_write_pieces(spark, tmp_path):
+    grid = [put(r, c, f"{r}:{c} <&>" if r % 7 else None, f"https://x.com/{r}" if r % 5 == 0 else None, "FF00FF00" if c == 2 else None, s, f"Tab {s}") for s in range(5) for r in range(1, 200) for c in (1, 2, 27)]
+    path = f"file://{tmp_path}/many.xlsx"
+    df = spark.createDataFrame(grid, GRID).repartition(6)
+    workbook.render(df, path, [9, 12], 7, {"Tab 3": [33]})
+    assert [p.name for p in tmp_path.iterdir()] == ["many.xlsx"]  # the pieces are gone
+    parts = workbook.scan(spark, path)
+    assert parts.rdd.getNumPartitions() == 5
+    cells = {(c["sheet"], c["row"], c["col"]): c for c in parts.where("kind = 'cell'").collect()}
+    assert len(cells) == len(grid)
+    for s, name, row, col, value, url, fill, _ in grid:
+        c = cells[(name, row, col)]
+        assert c["sheet_index"] == s and c["fill"] == fill and c["value"] == (value if value or not url else url) and (c["formula"] is None) == (url is None)
+    widths = sorted((r["sheet"], r["col"], r["col1"], r["value"]) for r in parts.where("kind = 'column'").collect())
+    assert [w for w in widths if w[0] in ("Tab 0", "Tab 3")] == [("Tab 0", 1, 1, "9"), ("Tab 0", 2, 2, "12"), ("Tab 0", 3, 16384, "7"), ("Tab 3", 1, 1, "33")]
+    with zipfile.ZipFile(tmp_path / "many.xlsx") as z:
+        assert z.testzip() is None and b"</row></row>" not in z.read("xl/worksheets/sheet1.xml")
+    workbook.render(df.where("sheet_index = 1"), path)  # written over
+    assert workbook.scan(spark, path).where("kind = 'cell'").count() == len(grid) // 5
+
+
+def test_runs_of_rich_text(spark, tmp_path):
+    runs = [("keep", "M3 "), ("del", "old "), ("add", "new")]
+    grid = [(0, SHEET, 2, 1, "M3 old new", None, None, None, runs), (0, SHEET, 2, 2, "same", None, None, None, [("keep", "same")])]
+    path = str(tmp_path / "rich.xlsx")
+    workbook.render(spark.createDataFrame(grid, GRID + ", runs array<struct<op: string, text: string>>"), path)
+    parts = workbook.scan(spark, path)
+    assert [(r["col"], r["row1"], r["formula"], r["value"]) for r in parts.where("kind = 'run'").orderBy("row1").collect()] == [(1, 0, None, "M3 "), (1, 1, "strike", "old "), (1, 2, "bold", "new")]
+    assert {r["col"]: r["value"] for r in parts.where("kind = 'cell'").collect()} == {1: "M3 old new", 2: "same"}
