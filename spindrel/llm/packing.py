@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import complete_groups, partitions, prepare
+from .common import bounds, complete_groups, partitions, prepare
 from .tokens import mix
 
 #: Text bytes whose pieces share a group.
@@ -253,7 +253,8 @@ def _packed_groups(length: int, kind: str):
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
 
     def run(batches):
-        for t in complete_groups(batches, "grp"):
+        groups = (t.slice(b, e - b) for t in complete_groups(batches, "grp") for b, e in zip(*bounds(t["grp"].to_numpy()), strict=True))
+        for t in groups:
             grp = t["grp"][0].as_py()
             sizes, docs, starts, whole, ids = (t[c].to_pylist() for c in ("size", "doc_id", "start", "doc_tokens", "ids"))
             rows, size = [], 0
