@@ -8,8 +8,12 @@ those, and phrases that hold one of them; what survives is counted exactly, firs
 word numbers (no hash decides what is equal), then by groupBy on the phrases. Nothing
 frequent is lost, and nothing rare stays.
 
-A sketch has two rows of a cell for each CELL_BYTES of text, up to MOST_CELLS. Beyond that it
-prunes less and less and the second pass moves more: the result is the same.
+A sketch has two rows of a cell for each CELL_BYTES of text, so that what rare phrases add to a
+cell stays far below `least`, up to MOST_CELLS (two bytes each in a task; 4 GB of text). Beyond
+that it prunes less and less and the second pass moves more: the result is the same. There are as many
+tasks as the cluster runs at once, or one for each TASK_BYTES of text if that is more, and each
+has one sketch and one table of counts for all it reads, so that what moves does not grow with
+the number of files.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ from .common import partitions, prepare, stage
 from .tokens import mix, powers, text_buffers
 
 #: Text bytes for each cell of a row of the sketch; least and most cells of a row.
-CELL_BYTES, LEAST_CELLS, MOST_CELLS = 64, 1 << 16, 1 << 26
+CELL_BYTES, LEAST_CELLS, MOST_CELLS = 32, 1 << 16, 1 << 27
 #: Cells that are merged, and kept as bits, together.
 SLICE = 1 << 16
 #: Text bytes whose phrases are counted at once.
 CHUNK = 4 << 20
+#: Text bytes that a task reads at most, and rows of counts that it holds.
+TASK_BYTES, HELD = 4 << 30, 1 << 20
 #: Updates of a sketch after which its counts are cut to HALF; 16 bits can't overflow.
 HALF = (1 << 15) - 1
 ROWS = 2
@@ -117,7 +123,7 @@ class _Words:
 
 
 def _cells(h: np.ndarray, row: int, cells: int) -> np.ndarray:
-    return ((h >> _U(32 * row)) & _U(cells - 1)).astype(np.int64)
+    return ((((h >> _U(32 * row)) & _U(0xFFFFFFFF)) * _U(cells)) >> _U(32)).astype(np.int64)
 
 
 def _sketched(longest: int, least: int, cells: int):
@@ -173,6 +179,12 @@ def _table(langs, size, phrases, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([langs.cast(pa.string()), pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n, pa.int64())], ["lang", "size", "phrase", "n"])
 
 
+def _summed(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Tables of counts as one, with a row for each phrase."""
+    out = pa.Table.from_batches(batches).group_by(["lang", "size", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return out.rename_columns({"n_sum": "n"}).select(["lang", "size", "phrase", "n"]).to_batches(max_chunksize=1 << 17)
+
+
 def _survivors(longest: int, cells: int, bits):
     """Counts of the words and phrases that may be frequent, and as size 0 of all words."""
 
@@ -185,6 +197,20 @@ def _survivors(longest: int, cells: int, bits):
         return keep
 
     def run(batches):
+        held, rows = [], 0
+        for batch in counted(batches):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows > HELD:
+                held = _summed(held)
+                rows = sum(b.num_rows for b in held)
+                if rows > HELD // 2:
+                    yield from held
+                    held, rows = [], 0
+        if held:
+            yield from _summed(held)
+
+    def counted(batches):
         for part in _parts(batches, CHUNK):
             w = _Words(*part)
             langs = pa.array(w.langs, pa.string())
@@ -222,13 +248,12 @@ def frequent_phrases(docs: DataFrame, *, least: int = 100, longest: int = 5) ->
     prepare(spark)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("octet_length(text) > 0")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = LEAST_CELLS
-    while cells < min(MOST_CELLS, size // CELL_BYTES):
-        cells *= 2
+    cells = SLICE * -(-min(MOST_CELLS, max(LEAST_CELLS, size // CELL_BYTES)) // SLICE)
     enough = min(least, HALF)  # a phrase with `least` has that, too
+    docs = docs.coalesce(max(spark.sparkContext.defaultParallelism, size // TASK_BYTES))
     slices = docs.mapInArrow(_sketched(longest, enough, cells), "slice int, counts binary")
     merged = slices.repartition(partitions(spark), "slice").sortWithinPartitions("slice").mapInArrow(_merged(enough), "slice int, bits binary")
-    bits = bytearray(ROWS * cells // 8)  # at most 16 MB
+    bits = bytearray(ROWS * cells // 8)  # at most 32 MB
     for r in merged.toLocalIterator():
         bits[r["slice"] * SLICE // 8 : (r["slice"] + 1) * SLICE // 8] = bytes(r["bits"])
     counts = docs.mapInArrow(_survivors(longest, cells, spark.sparkContext.broadcast(bytes(bits))), _COUNTS)
