@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,12 @@ def _hash(s: str) -> int:
 def _around(text: str, spans, reach: int, least: int) -> dict[int, int]:
     """The context of each entity: the words near its first mention, or else the text."""
     out = {}
+    starts, ends = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+
+    def free(a, b):
+        last = bisect_left(starts, b) - 1  # the last span that starts before b, and the furthest end up to it
+        return last < 0 or ends[last] <= a
+
     for s, k, e in spans:
         entity = _hash(f"{PII_KINDS[k]}:{text[s:e].lower()}")
         if entity in out:
@@ -49,7 +57,7 @@ def _around(text: str, spans, reach: int, least: int) -> dict[int, int]:
             own = []
             for m in _WORD.finditer(part):
                 a, b = at + m.start(), at + m.end()
-                if b - a >= least and not any(a < y and x < b for x, _, y in spans):
+                if b - a >= least and free(a, b):
                     own.append((a, b))
             if not side and own and own[0][0] == lo and lo:
                 own = own[1:]  # may be the end of a longer word
@@ -119,7 +127,8 @@ def _spots(entities, bits, least: int):
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, text, spans in _mentioning(entities.value, batch.column(2)):
                 terms, s, e = _terms(text, spans, least)
-                for entity in {_hash(f"{PII_KINDS[k]}:{text[x:y].lower()}") for x, k, y in spans}:
+                held_here = np.array([*{_hash(f"{PII_KINDS[k]}:{text[x:y].lower()}") for x, k, y in spans}])
+                for entity in held_here[in_bitmap(entities.value, held_here)].tolist():
                     at = np.flatnonzero(in_bitmap(bits.value, terms ^ np.int64(entity)))
                     if len(at):
                         held.append((np.full(len(at), keys[i]), np.full(len(at), ids[i]), np.full(len(at), entity), terms[at], s[at], e[at]))
