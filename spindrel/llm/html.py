@@ -6,7 +6,8 @@ container's sum is discounted by its link density, and weighs more for an articl
 The best container is kept, and those siblings, its own and its ancestors', that score
 close to it or read like text. Elements that say what they are (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, hidden parts and reader comments) never count;
-a name alone says so only where the element does not hold the article or most points.
+a name alone says so only of a block, as a whole name (`sidebar`, `site-header`, not
+`social-history`), and where the element does not hold the article or most points.
 Every step is one pass over the nodes, whatever their depth.
 """
 
@@ -34,6 +35,11 @@ _NAMES = frozenset(
     "comment comments disqus reply replies respond nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars aside rail footer header masthead topbar "
     "toolbar share sharing social related recommended recommendations newsletter subscribe subscription signup login search widget widgets skip hidden".split()
 )
+#: Words that may stand beside those names without making them something else.
+_BESIDE = frozenset(
+    "area articles bar bars block blocks bottom box boxes button buttons container content feed form global group icon icons inner item items left link links list lists main outer page panel "
+    "post posts primary right row secondary section site slot small stories sticky tags text title top unit user users wrap wrapper".split()
+)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of the key's name ends where one of these opens.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -63,6 +69,12 @@ class _Node:
         return (self.score * (3 if strong else 1) + (10 if strong else 0)) * (1 - self.density)
 
 
+def _says_so(name: str) -> bool:
+    """Whether a class or id names a part of a page that is no article."""
+    parts = [w for w in _PARTS.split(name) if w and not w.isdigit()]
+    return any(w in _NAMES for w in parts) and all(w in _NAMES or w in _BESIDE for w in parts)
+
+
 def _skipped(tag: str, attrs: str, within: bool) -> bool | None:
     """Whether an element never counts; None if only its name says so."""
     if tag in _SKIP or (tag == "header" and not within):
@@ -76,8 +88,9 @@ def _skipped(tag: str, attrs: str, within: bool) -> bool | None:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    words = {w for k in ("class", "id") for w in _PARTS.split(found.get(k, "").lower())}
-    return None if words & _NAMES and not (tag in _HEADINGS or (tag == "header" and within)) else False
+    if tag not in _BLOCK or tag in _HEADINGS or (tag == "header" and within):
+        return False
+    return None if any(_says_so(name) for k in ("class", "id") for name in found.get(k, "").lower().split()) else False
 
 
 def _tree(page: str):
@@ -85,6 +98,8 @@ def _tree(page: str):
     text, whether in a link)."""
     root = _Node("", None, False, False)
     nodes, stack, open_tags = [root], [root], {}
+    since: list[dict[str, int]] = [{}]  # inline elements open since each open block
+    anchors: list[tuple[_Node, dict[str, int]]] = []  # open links, and where they are counted
     blocks: list[tuple[_Node, list]] = []
     run: list[tuple[_Node, str, bool]] = []
 
@@ -96,6 +111,12 @@ def _tree(page: str):
     def pop():
         node = stack.pop()
         open_tags[node.tag] -= 1
+        if node.tag in _BLOCK:
+            since.pop()
+        else:
+            since[-1][node.tag] -= 1
+        if anchors and anchors[-1][0] is node:
+            anchors.pop()
         return node.tag
 
     def add(text):
@@ -128,18 +149,17 @@ def _tree(page: str):
             if open_tags.get(tag):
                 if tag == "a" or tag not in _BLOCK:
                     # an inline end doesn't close blocks that opened inside
-                    k = len(stack) - 1
-                    while k > 0 and stack[k].tag != tag and stack[k].tag not in _BLOCK:
-                        k -= 1
-                    if stack[k].tag == tag:
+                    if since[-1].get(tag):
                         while pop() != tag:
                             pass
-                    elif tag == "a":
+                    elif tag == "a":  # the links around open blocks end, their elements stay open
+                        for x, count in anchors:
+                            x.tag = "span"
+                            count["a"] -= 1
+                            count["span"] = count.get("span", 0) + 1
+                            open_tags["span"] = open_tags.get("span", 0) + 1
+                        anchors.clear()
                         open_tags["a"] = 0
-                        for x in stack:
-                            if x.tag == "a":
-                                x.tag = "span"
-                                open_tags["span"] = open_tags.get("span", 0) + 1
                 else:
                     while pop() != tag:
                         pass
@@ -186,6 +206,12 @@ def _tree(page: str):
             nodes.append(node)
             stack.append(node)
             open_tags[tag] = open_tags.get(tag, 0) + 1
+            if tag in _BLOCK:
+                since.append({})
+            else:
+                since[-1][tag] = since[-1].get(tag, 0) + 1
+                if tag == "a":
+                    anchors.append((node, since[-1]))
         else:
             add("<")
             at += 1
