@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +61,14 @@ def _suspects(buf: np.ndarray, offs: np.ndarray) -> set[int]:
     return set(doc[(size >= 32) | ((size >= 16) & (digits[e] > digits[s]))].tolist())
 
 
+def _apart(tokens, spans) -> list:
+    """Those of `tokens` that overlap none of `spans`; both start with start, kind and end."""
+    spans = sorted(spans)
+    starts, ends = [b[0] for b in spans], list(accumulate((b[2] for b in spans), max))
+    last = [bisect_left(starts, t[2]) - 1 for t in tokens]  # the last span that starts before the token's end
+    return [t for t, i in zip(tokens, last, strict=True) if i < 0 or ends[i] <= t[0]]
+
+
 def _find(least_bits: float):
     def run(batches):
         for batch in batches:
@@ -78,7 +88,7 @@ def _find(least_bits: float):
                 for i in likely:
                     text = texts[lo + i].as_py()
                     base = credentials(text)
-                    more = [t for t in random_tokens(text, least_bits) if not any(t[0] < b[2] and b[0] < t[2] for b in base)]
+                    more = _apart(random_tokens(text, least_bits), base)
                     if base:
                         counts[lo + i] = [sum(b[1] == k for b in base) for k in range(3)]
                         shas[lo + i] = digest(base, SECRET_KINDS)
