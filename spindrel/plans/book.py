@@ -116,7 +116,7 @@ def redline_file(spark, sf_dir):
     """A rendered redline as its scan finds it: the texts before and after of component,
     standard, quantity and size, put together from the runs of their cells, and the widths of
     columns (row 0: width, and the last column that has it)."""
-    red = views.redline(fold.raw(spark, sf_dir), fold._rules(spark), fold.master(spark, sf_dir))
+    red = stage(views.redline(fold.raw(spark, sf_dir), fold._rules(spark), fold.master(spark, sf_dir)))
     parts = _read_back(spark, views.redline_grid(red), views.WIDTHS, views.WIDTH)
     side = lambda mark: F.expr(f"array_join(transform(array_sort(collect_list(if(coalesce(formula, '') <> '{mark}', struct(row1, value), null))), x -> x.value), '')")
     runs = parts.where("kind = 'run'").groupBy("sheet", "row", "col").agg(side("bold").alias("before"), side("strike").alias("after"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dims
@@ -162,12 +163,23 @@ def workload(spark, sf_dir):
     return reports.workload(raw(spark, sf_dir), _rules(spark))
 
 
+_work: dict[tuple[str, str], DataFrame] = {}
+
+
+def _workload(spark, sf_dir):
+    """workload(), written once for an application and a folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _work:
+        _work[key] = stage(workload(spark, sf_dir))
+    return _work[key]
+
+
 def workload_totals(spark, sf_dir):
-    return reports.workload_totals(workload(spark, sf_dir))
+    return reports.workload_totals(_workload(spark, sf_dir))
 
 
 def workload_top(spark, sf_dir):
-    return reports.workload_top(workload(spark, sf_dir))
+    return reports.workload_top(_workload(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (
