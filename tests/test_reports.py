@@ -4,9 +4,10 @@ import difflib
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from spindrel.functions import dims
-from spindrel.operators import reports, resolve, views
+from spindrel.operators import reports, resolve, views, windows
 from spindrel.sources import workbook
 
 A, B, OLD = dims.PROJECTS[0][0], dims.PROJECTS[1][0], dims.PROJECTS[14][0]
@@ -156,3 +157,11 @@ def test_redline_merges_rows_without_quantity(spark):
     raw, r = spark.createDataFrame(rows, resolve.RAW + ", continuation boolean"), resolve.rules(spark, {})
     got = {x["row"]: (x["outcome"], x["note"]) for x in views.redline(raw, r, resolve.fold(raw, r)).collect()}
     assert got[2][0] == "edited" and got[3] == ("merged", 'merged into row 2, "Foot"') and got[4][0] == "edited"
+
+
+def test_neighbours_follow_in_one_pass(spark):
+    rows = [("s", i, v, v == "or") for i, v in enumerate(["or", "a", None, "or", "or", "b", "c", "or"])] + [("t", 0, "d", False)]
+    df = windows.neighbours(spark.createDataFrame(rows, "sheet string, row int, v string, is_or boolean"), "sheet", ["row"], "v", F.col("is_or"))
+    got = [(x["left"], x["right"], x["back_to_back"]) for x in df.orderBy("sheet", "row").collect()]
+    assert got == [(None, "a", False), (None, "b", False), ("a", "b", False), ("a", "b", False), ("a", "b", True), ("a", "c", False), ("b", None, False), ("c", None, False), (None, None, False)]
+    assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()  # such a frame is the square of a sheet's rows
