@@ -156,7 +156,7 @@ def test_redline_merges_rows_without_quantity(spark):
     rows = [(1, A, 2, "Frame", "Foot", "X", None, None, [], [], False), (2, A, 3, "Frame", "foot", "Y", None, None, [], [], False), (3, A, 4, "Frame", "foot", None, None, "250", [], [], False)]
     raw, r = spark.createDataFrame(rows, resolve.RAW + ", continuation boolean"), resolve.rules(spark, {})
     got = {x["row"]: (x["outcome"], x["note"]) for x in views.redline(raw, r, resolve.fold(raw, r)).collect()}
-    assert got[2][0] == "edited" and got[3] == ("merged", 'merged into row 2, "Foot"') and got[4][0] == "edited"
+    assert got[2][0] == "edited" and got[3] == ("merged", 'merged into row 2, "foot"') and got[4][0] == "edited"
 
 
 def test_neighbours_follow_in_one_pass(spark):
