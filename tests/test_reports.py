@@ -165,3 +165,10 @@ def test_neighbours_follow_in_one_pass(spark):
     got = [(x["left"], x["right"], x["back_to_back"]) for x in df.orderBy("sheet", "row").collect()]
     assert got == [(None, "a", False), (None, "b", False), ("a", "b", False), ("a", "b", False), ("a", "b", True), ("a", "c", False), ("b", None, False), ("c", None, False), (None, None, False)]
     assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower()  # such a frame is the square of a sheet's rows
+
+
+def test_redline_links_stay_in_their_rows(made):
+    raw, r, m, _ = made
+    plan = views.redline(raw, r, m)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(pairs" not in plan  # neither a row per link, nor links of an item for rows that show none
+    assert "_shown" in plan
