@@ -136,3 +136,10 @@ def test_runs_of_rich_text(spark, tmp_path):
     parts = workbook.scan(spark, path)
     assert [(r["col"], r["row1"], r["formula"], r["value"]) for r in parts.where("kind = 'run'").orderBy("row1").collect()] == [(1, 0, None, "M3 "), (1, 1, "strike", "old "), (1, 2, "bold", "new")]
     assert {r["col"]: r["value"] for r in parts.where("kind = 'cell'").collect()} == {1: "M3 old new", 2: "same"}
+
+
+def test_rows_of_cells_are_not_broadcast(spark):
+    """Their files are small, but not they themselves, and what is broadcast passes through the driver."""
+    parts = spark.createDataFrame([], workbook.PARTS)
+    plan = workbook.raw_rows(parts)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("strategy=merge") >= 4
