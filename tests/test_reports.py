@@ -172,3 +172,13 @@ def test_redline_links_stay_in_their_rows(made):
     plan = views.redline(raw, r, m)._jdf.queryExecution().optimizedPlan().toString()
     assert "explode(pairs" not in plan  # neither a row per link, nor links of an item for rows that show none
     assert "_shown" in plan
+
+
+def test_tabs_are_put_in_order_without_links(made):
+    raw, r, m, status = made
+    plan = views.tab_view(raw, r, m, status)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deep = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    top = min(d for x, d in zip(plan, deep, strict=True) if x.lstrip(" :+-").startswith("Window "))
+    first = next(i for i, x in enumerate(plan) if deep[i] == top and x.lstrip(" :+-").startswith("Window "))
+    below = [plan[i] for i in range(first + 1, len(plan)) if min(deep[first + 1 : i + 1]) > top]  # one task sorts a tab: what it holds
+    assert any("rows" in x for x in below) and not any("link_ok" in x or "url_key" in x for x in below)
