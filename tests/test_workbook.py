@@ -143,3 +143,18 @@ def test_rows_of_cells_are_not_broadcast(spark):
     parts = spark.createDataFrame([], workbook.PARTS)
     plan = workbook.raw_rows(parts)._jdf.queryExecution().analyzed().toString()
     assert plan.count("strategy=merge") >= 4
+
+
+def test_cells_are_made_by_spark_and_read_up_to_a_column(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workbook, "TASK_CELLS", 2)  # many tasks, and more than one for a row's sheet
+    odd = [(1, "a & <b>", None), (2, None, None), (26, '"q"', 'https://x.example/?a="1"&b=<2>'), (27, None, "https://y.example/"), (702, "", ""), (703, " s ", None), (16384, "é", None), (18279, "z", None)]
+    grid = [(i, f"S{i}", r, c, v, u, None, None) for i in (0, 1) for r in (1, 2, 3) for c, v, u in odd]
+    path = str(tmp_path / "odd.xlsx")
+    workbook.render(spark.createDataFrame(grid, GRID), path)
+    link = {26: ('HYPERLINK("https://x.example/?a=""1""&b=<2>","""q""")', '"q"'), 27: ('HYPERLINK("https://y.example/","https://y.example/")', "https://y.example/")}
+    want = {(s, r, c): link.get(c, (None, v or None)) for _, s, r, c, v, *_ in grid}
+    assert {(x["sheet"], x["row"], x["col"]): (x["formula"], x["value"]) for x in workbook.scan(spark, path).collect()} == want
+    few = workbook.scan(spark, path, 27).collect()
+    assert {(x["sheet"], x["row"], x["col"]) for x in few} == {k for k in want if k[2] <= 27} and len(few) == 24
+    with zipfile.ZipFile(path) as z:
+        assert z.read("xl/worksheets/sheet1.xml").decode().count('r="AAAA2"') == 1 and z.testzip() is None
